@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quantweave.functions.places import place_in
 from quantweave.roles import Dataset, named
 
 # Modification name and mass difference, in order of precedence. One name per mass; a mass
@@ -64,39 +65,61 @@ def modification_table(strict: bool = False) -> list[tuple[str, float]]:
     ]
 
 
-def _renamed_token(token: Column, table: list[tuple[str, float]]) -> Column:
-    residue = F.substring(token, 1, 1)
-    inner = token.substr(F.lit(3), F.length(token) - 3)
-    delta = F.when(inner.rlike(NUMBER), F.trim(inner).try_cast("double"))
-    candidates = F.array(
+def _renamed_tokens(tokens: Column, table: list[tuple[str, float]]) -> Column:
+    """Rename tokens one step at a time, so that each number is parsed and each nearest mass is found once."""
+    by_mass = sorted(enumerate(table), key=lambda entry: entry[1][1])
+    masses = F.array(*[F.lit(mass) for _, (_, mass) in by_mass])
+    known = F.array(
         *[
-            F.struct(
-                F.abs(delta - F.lit(mass)).alias("gap"),
-                F.lit(rank).alias("rank"),
-                F.lit(name).alias("name"),
-                F.lit(mass).alias("mass"),
-            )
-            for rank, (name, mass) in enumerate(table)
+            F.struct(F.lit(mass).alias("mass"), F.lit(rank).alias("rank"), F.lit(name).alias("name"))
+            for rank, (name, mass) in by_mass
         ]
     )
-    nearest = F.array_min(candidates)
-    whole = F.rint(delta)
-    name = (
-        F.when(whole == F.rint(nearest["mass"]), nearest["name"])
-        .when((residue == "C") & (whole == 57), F.lit("UniMod:4"))
-        .when((residue == "M") & (whole == 16), F.lit("UniMod:35"))
-    )
-    return F.coalesce(F.concat(residue, F.lit("("), name, F.lit(")")), token)
+
+    def parsed(token: Column) -> Column:
+        inner = F.substring(token, F.lit(3), F.length(token) - 3)
+        delta = F.when(inner.rlike(NUMBER), F.trim(inner).try_cast("double"))
+        return F.struct(token.alias("token"), delta.alias("delta"), F.rint(delta).alias("whole"))
+
+    def beside(item: Column) -> Column:
+        place = place_in(item["delta"], masses, len(table))
+        return F.struct(
+            item["token"].alias("token"),
+            item["delta"].alias("delta"),
+            item["whole"].alias("whole"),
+            F.get(known, place - 1).alias("under"),
+            F.get(known, place).alias("over"),
+        )
+
+    def matched(item: Column) -> Column:
+        under, over = item["under"], item["over"]
+        gap_under, gap_over = F.abs(item["delta"] - under["mass"]), F.abs(item["delta"] - over["mass"])
+        nearest = (
+            F.when(over.isNull() | (gap_under < gap_over), under)
+            .when((gap_under == gap_over) & (under["rank"] < over["rank"]), under)
+            .otherwise(over)
+        )
+        return F.struct(item["token"].alias("token"), item["whole"].alias("whole"), nearest.alias("nearest"))
+
+    def renamed(item: Column) -> Column:
+        residue = F.substring(item["token"], 1, 1)
+        name = (
+            F.when(item["whole"] == F.rint(item["nearest"]["mass"]), item["nearest"]["name"])
+            .when((residue == "C") & (item["whole"] == 57), F.lit("UniMod:4"))
+            .when((residue == "M") & (item["whole"] == 16), F.lit("UniMod:35"))
+        )
+        return F.coalesce(F.concat(residue, F.lit("("), name, F.lit(")")), item["token"])
+
+    return F.transform(F.transform(F.transform(F.transform(tokens, parsed), beside), matched), renamed)
 
 
 def normalize_modifications(peptide: Column, *, strict: bool = False) -> Column:
     """Rename every numeric modification whose rounded mass agrees with the nearest known one; keep all else."""
-    table = modification_table(strict)
     tokens = F.regexp_extract_all(peptide, F.lit(f"({TOKEN})"), F.lit(1))
-    renamed = F.transform(tokens, lambda token: _renamed_token(token, table))
+    renamed = _renamed_tokens(tokens, modification_table(strict))
     between = F.split(peptide, TOKEN, -1)
     pieces = F.zip_with(between, renamed, lambda text, token: F.concat(text, F.coalesce(token, F.lit(""))))
-    return F.when(F.size(tokens) == 0, peptide).otherwise(F.array_join(pieces, ""))
+    return F.when(peptide.rlike(TOKEN), F.array_join(pieces, "")).otherwise(peptide)
 
 
 def normalize_peptides(

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantweave import roles as tags
+from quantweave.functions.places import place_in
 from quantweave.operators.competition import compete
 from quantweave.roles import Dataset, named
 from quantweave.shared import shuffle_width
@@ -30,20 +31,6 @@ def oriented(score: Column, higher_is_better: bool) -> Column:
     return F.when(F.isnan(value), F.raise_error(F.lit("scores must not be NaN"))).otherwise(value)
 
 
-def range_of(value: Column, cuts: Column, ranges: int) -> Column:
-    """Index of the value range: how many of the sorted cut points are at or under the value, by binary search.
-
-    Never null, so that joining on it adds no null test, which Spark would push down to the rows under the tally.
-    """
-    steps = [1 << power for power in reversed(range(ranges.bit_length()))]
-    found = F.aggregate(
-        F.array(*[F.lit(step) for step in steps]),
-        F.lit(0),
-        lambda at, step: F.when(F.get(cuts, at + step - 1) <= value, at + step).otherwise(at),
-    )
-    return F.coalesce(found, F.lit(0))
-
-
 def running_rates(df: DataFrame, score: Column, target: Column, ranges: int) -> DataFrame:
     """Distinct scores with the target and decoy counts at or above each, and the estimated false discovery rate.
 
@@ -61,7 +48,7 @@ def running_rates(df: DataFrame, score: Column, target: Column, ranges: int) ->
     counted_score = F.when(F.col("_targets") + F.col("_decoys") > 0, F.col("_score"))
     cuts = tallies.agg(F.percentile_approx(counted_score, quantiles, 10_000)).scalar()
     ranged = tallies.withColumn("_cuts", cuts)
-    ranged = ranged.withColumn("_range", range_of(F.col("_score"), F.col("_cuts"), ranges)).drop("_cuts")
+    ranged = ranged.withColumn("_range", place_in(F.col("_score"), F.col("_cuts"), ranges - 1)).drop("_cuts")
 
     # One row per range: a table of fixed size, so ordering it in one task and broadcasting it are both safe.
     better = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
