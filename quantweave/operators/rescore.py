@@ -2,8 +2,9 @@
 
 Following Percolator and mokapot: rows are split into folds by their spectrum; each fold is scored by a model trained on
 the other folds. Training starts from the best single feature and repeats: targets accepted at the training rate are
-positives, decoys are negatives. A trained model is a handful of coefficients, so scoring is a plain column expression
-over the input and shuffles nothing.
+positives, decoys are negatives. The learner is a regularised logistic regression: its smooth objective has one optimum,
+which does not depend on how the rows are spread. A trained model is a handful of coefficients, so scoring is a plain
+column expression over the input and shuffles nothing.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LinearSVC
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -128,7 +129,7 @@ def rescore(
     max_iter: int = 10,
     seed: int = 1,
     regularization: float = 0.001,
-    svm_iterations: int = 10,
+    fit_iterations: int = 50,
     output: str = "rescore",
 ) -> Dataset:
     """Add a score learnt from the features, first in the score list; training runs as Spark jobs.
@@ -155,12 +156,13 @@ def rescore(
         folds=folds,
         rate=train_fdr,
         max_iter=max_iter,
-        learner=LinearSVC(
+        learner=LogisticRegression(
             featuresCol="_features",
             labelCol="_label",
             weightCol="_weight",
-            maxIter=svm_iterations,
+            maxIter=fit_iterations,
             regParam=regularization,
+            tol=1e-9,
         ),
     )
     score = F.coalesce(*[F.when(F.col("_fold") == held, model.score()) for held, model in models.items()])
@@ -169,7 +171,7 @@ def rescore(
 
 
 def _train(
-    rows: DataFrame, features: list[str], *, folds: int, rate: float, max_iter: int, learner: LinearSVC
+    rows: DataFrame, features: list[str], *, folds: int, rate: float, max_iter: int, learner: LogisticRegression
 ) -> dict[int, FoldModel]:
     """One calibrated model per held-out fold, all folds advancing together."""
     single = acceptances(rows, {feature: named(feature) for feature in features}, "_target", folds, rate)
@@ -212,7 +214,7 @@ def _train(
 
 
 def _fit(
-    train: DataFrame, features: list[str], model: FoldModel, found: Acceptance, learner: LinearSVC
+    train: DataFrame, features: list[str], model: FoldModel, found: Acceptance, learner: LogisticRegression
 ) -> FoldModel | None:
     """A model separating the accepted targets from the decoys, both sides weighing the same."""
     label = F.when(~F.col("_target"), F.lit(0.0)).when(model.score() >= F.lit(found.threshold), F.lit(1.0))
