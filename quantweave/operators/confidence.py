@@ -46,7 +46,7 @@ def running_rates(df: DataFrame, score: Column, target: Column, ranges: int) ->
     # Reading the counts here too keeps the tally's columns alike in every use, so that Spark shuffles it only once.
     quantiles = [step / ranges for step in range(1, ranges)]
     counted_score = F.when(F.col("_targets") + F.col("_decoys") > 0, F.col("_score"))
-    cuts = tallies.agg(F.percentile_approx(counted_score, quantiles, 10_000)).scalar()
+    cuts = tallies.agg(F.percentile_approx(counted_score, quantiles, max(1000, 10 * ranges))).scalar()
     ranged = tallies.withColumn("_cuts", cuts)
     ranged = ranged.withColumn("_range", place_in(F.col("_score"), F.col("_cuts"), ranges - 1)).drop("_cuts")
 

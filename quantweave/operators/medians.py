@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quantweave.roles import named
 
 SKETCH_ACCURACY = 10_000
-BRACKET = 10 / SKETCH_ACCURACY
+BRACKET = 3 / SKETCH_ACCURACY
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, output: str = "median") -> DataFrame:
