@@ -6,7 +6,9 @@ the nearest known mass, and the pieces are joined again.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from itertools import pairwise
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,9 +51,9 @@ KNOWN_MODIFICATIONS = (
 ISOTOPE_LABELS = ("UniMod:259", "UniMod:267", "UniMod:268", "UniMod:269")
 STRICT_PHOSPHO_NAME = "Phosphorylation (ST)"
 
-# A residue with its bracketed modification, and a plain decimal number.
+# A residue with its bracketed modification, and one whose modification is a plain decimal number.
 TOKEN = r"[A-Z](?:\[.+?\]|\(.+?\))"
-NUMBER = r"^\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+NUMERIC_TOKEN = r"^.[\[(]\s*[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\s*[\])]$"
 
 
 def modification_table(strict: bool = False) -> list[tuple[str, float]]:
@@ -65,60 +67,60 @@ def modification_table(strict: bool = False) -> list[tuple[str, float]]:
     ]
 
 
-def _renamed_tokens(tokens: Column, table: list[tuple[str, float]]) -> Column:
-    """Rename tokens one step at a time, so that each number is parsed and each nearest mass is found once."""
-    by_mass = sorted(enumerate(table), key=lambda entry: entry[1][1])
-    masses = F.array(*[F.lit(mass) for _, (_, mass) in by_mass])
+def _borders(table: list[tuple[str, float]]) -> tuple[list[int], list[float]]:
+    """Table places by mass, and between each two the least delta that is nearer to the higher mass.
+
+    Of two equally near masses the one listed first wins. Borders are found by halving, so they follow the rounding of
+    the differences exactly.
+    """
+    places = sorted(range(len(table)), key=lambda place: table[place][1])
+    borders = []
+    for lower, upper in pairwise(places):
+        below, above = table[lower][1], table[upper][1]
+        while math.nextafter(below, math.inf) < above:
+            middle = below + (above - below) / 2
+            nearest = min((lower, upper), key=lambda place: (abs(middle - table[place][1]), place))
+            below, above = (middle, above) if nearest == lower else (below, middle)
+        borders.append(above)
+    return places, borders
+
+
+def normalize_modifications(peptide: Column, *, strict: bool = False) -> Column:
+    """Rename every numeric modification whose rounded mass agrees with the nearest known one; keep all else.
+
+    Array functions evaluate what they are given each time it is mentioned, so every step stores what the next reads.
+    """
+    table = modification_table(strict)
+    places, borders = _borders(table)
+    cuts = F.array(*[F.lit(border) for border in borders])
     known = F.array(
         *[
-            F.struct(F.lit(mass).alias("mass"), F.lit(rank).alias("rank"), F.lit(name).alias("name"))
-            for rank, (name, mass) in by_mass
+            F.struct(F.lit(table[place][0]).alias("name"), F.lit(float(round(table[place][1]))).alias("whole"))
+            for place in places
         ]
     )
 
     def parsed(token: Column) -> Column:
-        inner = F.substring(token, F.lit(3), F.length(token) - 3)
-        delta = F.when(inner.rlike(NUMBER), F.trim(inner).try_cast("double"))
-        return F.struct(token.alias("token"), delta.alias("delta"), F.rint(delta).alias("whole"))
-
-    def beside(item: Column) -> Column:
-        place = place_in(item["delta"], masses, len(table))
-        return F.struct(
-            item["token"].alias("token"),
-            item["delta"].alias("delta"),
-            item["whole"].alias("whole"),
-            F.get(known, place - 1).alias("under"),
-            F.get(known, place).alias("over"),
-        )
+        number = F.substring(token, F.lit(3), F.length(token) - 3).try_cast("double")
+        return F.struct(token.alias("token"), F.when(token.rlike(NUMERIC_TOKEN), number).alias("delta"))
 
     def matched(item: Column) -> Column:
-        under, over = item["under"], item["over"]
-        gap_under, gap_over = F.abs(item["delta"] - under["mass"]), F.abs(item["delta"] - over["mass"])
-        nearest = (
-            F.when(over.isNull() | (gap_under < gap_over), under)
-            .when((gap_under == gap_over) & (under["rank"] < over["rank"]), under)
-            .otherwise(over)
-        )
-        return F.struct(item["token"].alias("token"), item["whole"].alias("whole"), nearest.alias("nearest"))
+        nearest = F.when(item["delta"].isNotNull(), F.get(known, place_in(item["delta"], cuts, len(borders))))
+        return F.struct(item["token"].alias("token"), F.rint(item["delta"]).alias("whole"), nearest.alias("nearest"))
 
-    def renamed(item: Column) -> Column:
+    def joined(text: Column, item: Column) -> Column:
         residue = F.substring(item["token"], 1, 1)
         name = (
-            F.when(item["whole"] == F.rint(item["nearest"]["mass"]), item["nearest"]["name"])
-            .when((residue == "C") & (item["whole"] == 57), F.lit("UniMod:4"))
-            .when((residue == "M") & (item["whole"] == 16), F.lit("UniMod:35"))
+            F.when(item["whole"] == item["nearest"]["whole"], item["nearest"]["name"])
+            .when((item["whole"] == 57) & (residue == "C"), F.lit("UniMod:4"))
+            .when((item["whole"] == 16) & (residue == "M"), F.lit("UniMod:35"))
         )
-        return F.coalesce(F.concat(residue, F.lit("("), name, F.lit(")")), item["token"])
+        renamed = F.concat(residue, F.lit("("), name, F.lit(")"))
+        return F.concat(text, F.coalesce(F.when(item["whole"].isNotNull(), renamed), item["token"], F.lit("")))
 
-    return F.transform(F.transform(F.transform(F.transform(tokens, parsed), beside), matched), renamed)
-
-
-def normalize_modifications(peptide: Column, *, strict: bool = False) -> Column:
-    """Rename every numeric modification whose rounded mass agrees with the nearest known one; keep all else."""
     tokens = F.regexp_extract_all(peptide, F.lit(f"({TOKEN})"), F.lit(1))
-    renamed = _renamed_tokens(tokens, modification_table(strict))
-    between = F.split(peptide, TOKEN, -1)
-    pieces = F.zip_with(between, renamed, lambda text, token: F.concat(text, F.coalesce(token, F.lit(""))))
+    matches = F.transform(F.transform(tokens, parsed), matched)
+    pieces = F.zip_with(F.split(peptide, TOKEN, -1), matches, joined)
     return F.when(peptide.rlike(TOKEN), F.array_join(pieces, "")).otherwise(peptide)
 
 
