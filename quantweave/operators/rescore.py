@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantweave.roles import Dataset, named
-from quantweave.shared import materialise
+from quantweave.shared import materialise, shuffle_width
 
 log = logging.getLogger(__name__)
 
@@ -157,8 +157,10 @@ def rescore(
         fold.alias("_fold"),
         *[column.alias(feature) for feature, column in filled.items()],
     ).filter(F.col("_target").isNotNull())
+    # Every iteration of every fold reads these rows, so they are spread evenly once.
+    spread = narrow.repartition(shuffle_width(ds.df.sparkSession))
     models = _train(
-        materialise(narrow, "training"),
+        materialise(spread, "training"),
         features,
         folds=folds,
         rate=train_fdr,
@@ -194,10 +196,12 @@ def _train(
         else:
             best[held] = (FoldModel({features[0]: 1.0}), None)
     current = {held: choice for held, choice in best.items() if choice[1] is not None}
+    decoys = {row["_fold"]: row["count"] for row in rows.filter(~F.col("_target")).groupBy("_fold").count().collect()}
+    against = {held: sum(count for fold, count in decoys.items() if fold != held) for held in current}
     vectors = VectorAssembler(inputCols=features, outputCol="_features").transform(rows)
     for _ in range(max_iter):
         fitted = {
-            held: _fit(vectors.filter(F.col("_fold") != held), features, model, found, learner)
+            held: _fit(vectors.filter(F.col("_fold") != held), features, model, found, against[held], learner)
             for held, (model, found) in current.items()
         }
         fitted = {held: model for held, model in fitted.items() if model is not None}
@@ -222,16 +226,20 @@ def _train(
 
 
 def _fit(
-    train: DataFrame, features: list[str], model: FoldModel, found: Acceptance, learner: LogisticRegression
+    train: DataFrame,
+    features: list[str],
+    model: FoldModel,
+    found: Acceptance,
+    decoys: int,
+    learner: LogisticRegression,
 ) -> FoldModel | None:
     """A model separating the accepted targets from the decoys, both sides weighing the same."""
-    label = F.when(~F.col("_target"), F.lit(0.0)).when(model.score() >= F.lit(found.threshold), F.lit(1.0))
-    chosen = train.withColumn("_label", label).filter(F.col("_label").isNotNull())
-    positives, negatives = chosen.agg(F.count_if(F.col("_label") == 1.0), F.count_if(F.col("_label") == 0.0)).first()
-    if not positives or not negatives:
+    if not found.accepted or not decoys:
         return None
-    weight = F.when(F.col("_label") == 1.0, F.lit(negatives / positives)).otherwise(F.lit(1.0))
-    fitted = learner.fit(chosen.select("_features", "_label", weight.alias("_weight")))
+    label = F.when(~F.col("_target"), F.lit(0.0)).when(model.score() >= F.lit(found.threshold), F.lit(1.0))
+    chosen = train.select("_features", label.alias("_label")).filter(F.col("_label").isNotNull())
+    weight = F.when(F.col("_label") == 1.0, F.lit(decoys / found.accepted)).otherwise(F.lit(1.0))
+    fitted = learner.fit(chosen.withColumn("_weight", weight))
     slopes = [float(slope) for slope in fitted.coefficients]
     return FoldModel(dict(zip(features, slopes, strict=True)), float(fitted.intercept)) if any(slopes) else None
 
