@@ -13,12 +13,13 @@ def connected_components(edges: DataFrame, left: str = "peptide", right: str = "
 
     Alternates between the sides: every left node takes the smallest label among its neighbours, every right node the
     smallest among its left nodes; after each round labels are short-cut through the label of their label, so long
-    chains need few rounds. Labels are written to the shared folder each round. Returns ``right`` and ``component``.
+    chains need few rounds. The tables of a round are written to the shared folder, which also lets Spark see their size and
+    split a node or label that holds much of the data. Returns ``right`` and ``component``.
     """
     links = materialise(edges.select(F.col(left).alias("_l"), F.col(right).alias("_r")).dropna().distinct(), "links")
     labels = materialise(links.groupBy("_r").agg(F.min("_r").alias("_c")), "labels")
     while True:
-        near = links.join(labels, on="_r").groupBy("_l").agg(F.min("_c").alias("_c"))
+        near = materialise(links.join(labels, on="_r").groupBy("_l").agg(F.min("_c").alias("_c")), "near")
         spread = links.join(near, on="_l").groupBy("_r").agg(F.min("_c").alias("_c"))
         # Hooking: a label that meets a smaller one passes it to everything under that label, so that whole groups merge.
         met = (
@@ -27,6 +28,7 @@ def connected_components(edges: DataFrame, left: str = "peptide", right: str = "
             .groupBy("_old")
             .agg(F.min("_c").alias("_met"))
         )
+        met = materialise(met, "met")
         hooked = labels.join(met, on=F.col("_c") == F.col("_old"), how="left").select(
             "_r", F.col("_c").alias("_was"), F.least("_c", "_met").alias("_c")
         )

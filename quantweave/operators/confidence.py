@@ -48,7 +48,10 @@ def running_rates(df: DataFrame, score: Column, target: Column, ranges: int) ->
     counted_score = F.when(F.col("_targets") + F.col("_decoys") > 0, F.col("_score"))
     cuts = tallies.agg(F.percentile_approx(counted_score, quantiles, max(1000, 10 * ranges))).scalar()
     ranged = tallies.withColumn("_cuts", cuts)
-    ranged = ranged.withColumn("_range", place_in(F.col("_score"), F.col("_cuts"), ranges - 1)).drop("_cuts")
+    # The range is joined on below. The added zero only marks it as not to be derived anew: otherwise Spark may infer the
+    # range expression as a filter on the other side of the join, which has no score to evaluate it on.
+    place = place_in(F.col("_score"), F.col("_cuts"), ranges - 1) + F.spark_partition_id() * 0
+    ranged = ranged.withColumn("_range", place).drop("_cuts")
 
     # One row per range: a table of fixed size, so ordering it in one task and broadcasting it are both safe.
     better = Window.orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)

@@ -2,7 +2,8 @@
 
 The built-in exact median holds all distinct values of a group in one task. Here a mergeable quantile sketch first
 brackets each group's median; then only the values inside the bracket, a small fixed share of the group, are counted
-and put in order, and the values outside enter as a count. Both passes combine before their shuffle.
+and put in order, and the values outside enter as a count. Both passes combine before their shuffle. The brackets are
+written first: their size is then known, so they are broadcast only when small, and a large group is split otherwise.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quantweave.roles import named
+from quantweave.shared import materialise
 
 SKETCH_ACCURACY = 10_000
 BRACKET = 3 / SKETCH_ACCURACY
@@ -30,6 +32,7 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, output: str =
     brackets = brackets.select(
         *key_columns, "_n", F.get("_bracket", F.lit(0)).alias("_low"), F.get("_bracket", F.lit(1)).alias("_high")
     )
+    brackets = materialise(brackets, "brackets")
     # Values under the bracket share one null entry, which sorts first and so carries their count into the running sum.
     central = (
         rows.join(brackets, on=list(keys))

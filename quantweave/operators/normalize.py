@@ -1,7 +1,7 @@
 """Median normalisation of intensities across samples, and basic peptide quantification.
 
-Medians are per-sample aggregates over narrow columns, joined back to the rows; the rows themselves are neither
-shuffled nor buffered per sample. Global statistics enter as one-row scalar subqueries, so nothing runs early.
+Medians are per-sample aggregates over narrow columns. They are written to the shared folder once, so that their size is
+known when they are joined back: usually they are broadcast and the rows are neither shuffled nor buffered per sample.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from quantweave import roles as tags
 from quantweave.functions.filters import masked_intensity
 from quantweave.operators.medians import grouped_median
 from quantweave.roles import Dataset, named
+from quantweave.shared import materialise
 
 
 def sample_count(df: DataFrame, sample: str) -> DataFrame:
@@ -64,7 +65,7 @@ def median_normalization(
         *([ds.column("peptide").alias("_peptide"), ds.column("charge").alias("_charge")] if density is not None else []),
     ).filter(F.col("_masked").isNotNull())
     if density is not None:
-        dense = _dense_precursors(ds, density, density_by)
+        dense = materialise(_dense_precursors(ds, density, density_by), "dense")
         # Rows may lack a peptide or charge; those count as one precursor, as they do in the grouping above.
         same = F.col("f._peptide").eqNullSafe(F.col("d._peptide")) & F.col("f._charge").eqNullSafe(F.col("d._charge"))
         feeding = feeding.alias("f").join(dense.alias("d"), on=same, how="left_semi")
@@ -76,10 +77,11 @@ def median_normalization(
     else:
         medians = grouped_median(feeding, ["_key"], "_masked", "_median")
     output = f"{ds.roles.intensity}_normalized_{name}"
-    scaled = F.try_divide(ds.column("intensity").cast("double"), F.col("_median")) * overall
+    medians = materialise(medians.withColumn("_overall", overall), "medians")
+    scaled = F.try_divide(ds.column("intensity").cast("double"), F.col("_median")) * F.col("_overall")
     joined = ds.df.drop(output).join(medians, on=named(sample) == F.col("_key"), how="left")
     return ds.evolve(
-        joined.withColumn(output, scaled).drop("_key", "_median"),
+        joined.withColumn(output, scaled).drop("_key", "_median", "_overall"),
         intensity=output,
         intensities=(output, *[track for track in ds.roles.tracks() if track != output]),
     )

@@ -78,6 +78,7 @@ def test_no_ordering_of_rows_in_one_task(spark):
     for line in plan.splitlines():
         if "windowspecdefinition(_score" in line:
             pytest.fail(f"scores are ordered without a range: {line}")
+        assert "<=> _range" not in line
 
 
 def test_errprob_is_monotone(spark):

@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from quantweave import Dataset, Roles, combine_passes, target_decoy_qvalues
+from quantweave.operators.medians import grouped_median
 from quantweave.operators.proteins import annotate_groups
+from quantweave.shared import materialise
 
 
 @contextlib.contextmanager
@@ -68,12 +70,24 @@ def test_annotation(spark, hot):
             F.array(F.lit("P1")).alias("all_proteins"),
             F.lit(True).alias("proteotypic"),
         )
-        assert assert_split(annotate_groups(hot, inference).df) == 60_000
+        assert assert_split(annotate_groups(hot, materialise(inference)).df) == 60_000
 
 
 def test_pass_matching(spark, hot):
     with small_skew_limits(spark):
         qvalued = hot.evolve(hot.df.withColumn("qvalue", F.col("score") / 100), qvalue="qvalue")
         first = qvalued.df.groupBy("peptide", "charge").agg(F.min("qvalue").alias("qvalue"))
-        library = Dataset(first.withColumn("protein", F.lit("P")), Roles(peptide="peptide", charge="charge", qvalue="qvalue", protein="protein"))
+        library = Dataset(
+            materialise(first.withColumn("protein", F.lit("P"))),
+            Roles(peptide="peptide", charge="charge", qvalue="qvalue", protein="protein"),
+        )
         assert assert_split(combine_passes(qvalued, library).df) == 60_000
+
+
+def test_median_of_a_hot_group(spark, hot):
+    with small_skew_limits(spark):
+        values = hot.df.select("peptide", (F.col("id") % 1000).cast("double").alias("value"))
+        found = grouped_median(values, ["peptide"], "value")
+        expected = values.groupBy("peptide").agg(F.median("value").alias("expected"))
+        assert found.join(expected, on="peptide").filter(F.col("median") != F.col("expected")).isEmpty()
+        assert found.count() == expected.count()
