@@ -77,7 +77,11 @@ def fit(
     """
     least = min(least, max(1, len(rows) // 100))
     common = np.bincount(np.concatenate(rows), minlength=size) >= least
-    rows = [row[common[row]] for row in rows]
+    # Only these weights take part in the steps.
+    active, total = np.flatnonzero(common), size
+    number = np.cumsum(common) - 1
+    rows = [number[row[common[row]]] for row in rows]
+    size = len(active)
     lengths = np.array([len(row) for row in rows])
     places = np.concatenate(rows)
     spread = np.repeat(np.arange(len(rows)), lengths)
@@ -116,7 +120,9 @@ def fit(
             else:
                 low, gaps = low + move[0], gaps + move[1:]
     cuts = np.r_[low, low + np.cumsum(np.exp(gaps))]
-    return OrdinalModel(weights.astype(np.float32), cuts)
+    every = np.zeros(total, np.float32)
+    every[active] = weights
+    return OrdinalModel(every, cuts)
 
 
 def train(docs: DataFrame, graded: DataFrame, levels: int = 3, sample: int = 12_000, size: int = 1 << 20,

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from quantweave.llm.attribution import attribute_tokens
 from quantweave.llm.bpe import Vocabulary, decode, encode
-from quantweave.llm.common import table
+from quantweave.llm import pii
+from quantweave.llm.common import materialise, table
 from quantweave.llm.quality import select_documents
 from quantweave.llm.warc import archive
 
@@ -70,3 +71,15 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op10_pii")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = materialise(pii.candidates(docs).select("doc_id", "candidates"), "pii")
+    rows = pii.accepted(found, pii.train(found))
+    base = F.filter("pii", lambda span: span["base"])
+    counts = [pii.number_of(kind, base).cast("long").alias(f"n_{kind}") for kind in pii.BASE]
+    return rows.select(
+        "doc_id", *counts, F.sha2(pii.digest_text(base), 256).alias("base_sha256"), pii.digest_text(F.col("pii")).alias("spans")
+    )
