@@ -30,9 +30,15 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     )
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A written table, marked for broadcast only if it has few rows; otherwise Spark shuffles it."""
-    return F.broadcast(df) if df.count() <= rows else df
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS, sized: str | None = None, size: int = 32 << 20) -> DataFrame:
+    """A written table, marked for broadcast only if it is small; otherwise Spark shuffles it.
+
+    Small is at most ``rows`` rows and, where ``sized`` names a binary column, at most ``size`` bytes in it.
+    """
+    if sized is None:
+        return F.broadcast(df) if df.count() <= rows else df
+    there = df.agg(F.count("*").alias("n"), F.sum(F.octet_length(sized)).alias("size")).first()
+    return F.broadcast(df) if there["n"] <= rows and (there["size"] or 0) <= size else df
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -88,17 +94,20 @@ POSTINGS = "part int, docs binary, counts binary, hashes binary"
 
 
 def postings(
-    docs: DataFrame, hashes: Callable[[], Callable[[int, bytes], np.ndarray]], parts: int, flush: int = 2_000_000
+    docs: DataFrame,
+    hashes: Callable[[], Callable[[int, bytes], tuple[tuple[int, ...], np.ndarray]]],
+    parts: int,
+    flush: int = 2_000_000,
 ) -> DataFrame:
     """Hashes of every document, packed by hash range: a row holds what one task saw of one range.
 
-    ``hashes`` makes, once a task, the function from (document, body) to its hashes. Packed rows cost 8 bytes a hash
-    and a little a document, and a task holds at most ``flush`` hashes and one document.
+    ``hashes`` makes, once a task, the function from (document, body) to a name of one or more longs and the hashes.
+    Packed rows cost 8 bytes a hash and a little a document, and a task holds at most ``flush`` hashes and a document.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = hashes()
-        ids: list[int] = []
+        ids: list[tuple[int, ...]] = []
         held: list[np.ndarray] = []
 
         def release() -> pa.RecordBatch:
@@ -128,9 +137,9 @@ def postings(
             for doc, body in zip(batch.column("doc_id").to_pylist(), batch.column("body").to_pylist()):
                 if doc is None:
                     continue
-                found = of(doc, body)
+                name, found = of(doc, body)
                 if len(found):
-                    ids.append(doc)
+                    ids.append(name)
                     held.append(found)
                     size += len(found)
                 if size >= flush:
@@ -142,17 +151,26 @@ def postings(
     return docs.mapInArrow(pack, POSTINGS)
 
 
-def unpacked(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, document) of all packed rows of one range, ordered by hash and then document."""
+def unpacked(group: pa.Table, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, name) of all packed rows of one range, ordered by hash and then name (of ``width`` longs)."""
     docs, hashes = [], []
     for names, counts, values in zip(*(group.column(name).to_pylist() for name in ("docs", "counts", "hashes"))):
-        docs.append(np.repeat(np.frombuffer(names, np.int64), np.frombuffer(counts, np.uint32)))
+        name = np.frombuffer(names, np.int64).reshape(-1, width)
+        docs.append(np.repeat(name, np.frombuffer(counts, np.uint32), axis=0))
         hashes.append(np.frombuffer(values, np.uint64))
     doc, value = np.concatenate(docs), np.concatenate(hashes)
-    order = np.lexsort((doc, value))
+    order = np.lexsort((doc[:, 0], value))
     return value[order], doc[order]
 
 
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal neighbours."""
+    if not len(values):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    starts = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    return starts, np.r_[starts[1:], len(values)]
+
+
 __all__ = [
     "BROADCAST_ROWS",
     "WordHashes",
@@ -163,6 +181,7 @@ __all__ = [
     "ngram_hashes",
     "part_count",
     "postings",
+    "runs",
     "scratch",
     "table",
     "texts",

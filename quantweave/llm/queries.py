@@ -12,6 +12,7 @@ from quantweave.llm.attribution import attribute_tokens
 from quantweave.llm.bpe import Vocabulary, decode, encode
 from quantweave.llm import pii
 from quantweave.llm.common import materialise, table
+from quantweave.llm.passages import remove_repeats
 from quantweave.llm.quality import select_documents
 from quantweave.llm.warc import archive
 
@@ -73,6 +74,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op9_repeats")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @query("op10_pii")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")

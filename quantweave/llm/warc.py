@@ -189,7 +189,9 @@ def read_bundles(index: DataFrame) -> DataFrame:
     The work is dealt by runs of 16 frames, so neither a large bundle nor many small ones make a slow task.
     """
     frames = index.groupBy("bundle", "frame").agg(F.sort_array(F.collect_list("offset")).alias("offsets"))
-    dealt = frames.withColumn("run", (F.col("frame") / 16).cast("int")).repartition("bundle", "run")
+    # The index is tiny beside the frames it points at, so its partitions must not be merged by size.
+    width = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = frames.withColumn("run", (F.col("frame") / 16).cast("int")).repartition(width, "bundle", "run")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, table, source = None, [], None
