@@ -12,6 +12,7 @@ from quantweave.llm.attribution import attribute_tokens
 from quantweave.llm.bpe import Vocabulary, decode, encode
 from quantweave.llm import pii
 from quantweave.llm.common import materialise, table
+from quantweave.llm.jaccard import jaccard_groups
 from quantweave.llm.passages import remove_repeats
 from quantweave.llm.quality import select_documents
 from quantweave.llm.warc import archive
@@ -31,6 +32,11 @@ def query(name: str, sql: str | None = None) -> Callable:
     return keep
 
 
+@query("op3_jaccard")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_groups(table(spark, folder, "documents")).drop("node")
+
+
 @query(
     "op4_warc",
     """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
