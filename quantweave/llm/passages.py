@@ -84,48 +84,91 @@ def confirmed_passages(docs: DataFrame, recurring: DataFrame, width: int = 13) -
 
 
 class Matcher:
-    """Automaton over word numbers. Of each passage every block of (width + 1) // 2 words is a pattern.
+    """Automaton over words. Of each passage every block of (width + 1) // 2 words is a pattern.
+
+    A word is written as a few characters of 64 values each, a value's place in the word showing in the character, so
+    that patterns match at word bounds only and a node has at most 64 children (a node's children are searched in turn).
 
     Any window of ``width`` words of a passage holds a whole block, so each window's occurrences show up as hits, which
-    are then extended word by word in both directions.
+    are then extended word by word in both directions. A block at more than ``places`` places, as in a phrase that
+    many passages quote, is replaced by the whole windows that hold it: a window has one owner, so that it has few
+    places however common its block is.
     """
 
-    def __init__(self, passages: list[tuple[int, bytes]], width: int) -> None:
-        self.width, self.block = width, (width + 1) // 2
+    def __init__(self, passages: list[tuple[int, bytes]], width: int, places: int = 6) -> None:
+        self.width = width
+        block = (width + 1) // 2
         self.numbers: dict[bytes, int] = {}
         self.owners = [owner for owner, _ in passages]
         self.words = []
-        seeds: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        blocks: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        kept = []
         for number, (_, passage) in enumerate(passages):
             own = [self.numbers.setdefault(word, len(self.numbers) + 1) for word in passage.split()]
+            kept.append(own)
             self.words.append(np.array(own, np.int32))
-            for start in range(0, len(own) - self.block + 1, self.block):
-                seeds.setdefault(tuple(own[start : start + self.block]), []).append((number, start))
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for seed, places in seeds.items():
-            self.automaton.add_word(seed, places)
+            for start in range(0, len(own) - block + 1, block):
+                blocks.setdefault(tuple(own[start : start + block]), []).append((number, start))
+        patterns: dict[tuple[int, ...], list[tuple[int, int]]] = {}
+        for pattern, found in blocks.items():
+            if len(found) <= places:
+                patterns[pattern] = found
+                continue
+            for number, start in found:
+                own = kept[number]
+                for first in range(max(0, start + block - width), min(start, len(own) - width) + 1):
+                    patterns.setdefault(tuple(own[first : first + width]), []).append((number, first))
+        self.digits = 1
+        while 64**self.digits <= len(self.numbers):
+            self.digits += 1
+        codes = [self._code(number) for number in range(len(self.numbers) + 1)]
+        self.codes = {word: codes[number] for word, number in self.numbers.items()}
+        self.unknown = codes[0]
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY)
+        for pattern, found in patterns.items():
+            # The longest passage first: what it covers need not be looked at again.
+            found.sort(key=lambda place: -len(kept[place[0]]))
+            self.automaton.add_word("".join([codes[number] for number in pattern]), (len(pattern), found))
         self.automaton.make_automaton()
 
+    def _code(self, number: int) -> str:
+        return "".join(chr(48 + 64 * place + (number >> 6 * place) % 64) for place in range(self.digits))
+
     def spans(self, doc: int, text: list[bytes]) -> list[tuple[int, int]]:
         """Word ranges of ``width`` words or more that a passage of a smaller document holds too."""
-        numbers = tuple(map(self.numbers.get, text, [0] * len(text)))
-        here = np.array(numbers, np.int32)
+        zeros = [0] * len(text)
+        here = np.fromiter(map(self.numbers.get, text, zeros), np.int32, len(text))
+        coded = "".join(map(self.codes.get, text, [self.unknown] * len(text)))
         done: dict[tuple[int, int], int] = {}
         found = []
-        for last, places in self.automaton.iter(numbers):
+        low_end, high_end = 0, 0
+        for at, (length, places) in self.automaton.iter(coded):
+            last = at // self.digits
+            first = last - length + 1
+            # All windows that hold this pattern, which lie in this range, may have been found already.
+            margin = self.width - length
+            if max(0, first - margin) >= low_end and min(len(here), last + 1 + margin) <= high_end:
+                continue
             for number, offset in places:
-                shift = last - self.block + 1 - offset
-                if self.owners[number] >= doc or done.get((number, shift), -1) > last - self.block + 1:
+                shift = first - offset
+                if self.owners[number] >= doc or done.get((number, shift), -1) > first:
                     continue
                 passage = self.words[number]
                 low, high = max(0, -shift), min(len(passage), len(here) - shift)
                 differ = np.flatnonzero(passage[low:high] != here[low + shift : high + shift]) + low
-                side = np.searchsorted(differ, offset)
+                side = int(differ.searchsorted(offset))
                 left = differ[side - 1] + 1 if side else low
                 right = differ[side] if side < len(differ) else high
                 done[number, shift] = int(right + shift)
                 if right - left >= self.width:
-                    found.append((int(left + shift), int(right + shift)))
+                    start, end = int(left + shift), int(right + shift)
+                    found.append((start, end))
+                    if start > high_end or end < low_end:
+                        low_end, high_end = start, end
+                    else:
+                        low_end, high_end = min(low_end, start), max(high_end, end)
+                    if max(0, first - margin) >= low_end and min(len(here), last + 1 + margin) <= high_end:
+                        break
         return found
 
 
