@@ -12,7 +12,9 @@ from quantweave.llm.attribution import attribute_tokens
 from quantweave.llm.bpe import Vocabulary, decode, encode
 from quantweave.llm import pii
 from quantweave.llm.common import materialise, table
+from quantweave.llm.contamination import find_contamination
 from quantweave.llm.jaccard import jaccard_groups
+from quantweave.llm.neighbours import nearest
 from quantweave.llm.passages import remove_repeats
 from quantweave.llm.quality import select_documents
 from quantweave.llm.warc import archive
@@ -32,6 +34,16 @@ def query(name: str, sql: str | None = None) -> Callable:
     return keep
 
 
+@query("op1_neighbours")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op2_contamination")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op3_jaccard")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_groups(table(spark, folder, "documents")).drop("node")
@@ -95,3 +107,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(
         "doc_id", *counts, F.sha2(pii.digest_text(base), 256).alias("base_sha256"), pii.digest_text(F.col("pii")).alias("spans")
     )
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
