@@ -17,6 +17,7 @@ from quantweave.llm.jaccard import jaccard_groups
 from quantweave.llm.neighbours import nearest
 from quantweave.llm.passages import remove_repeats
 from quantweave.llm.quality import select_documents
+from quantweave.llm.trie import score_texts
 from quantweave.llm.warc import archive
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -80,6 +81,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return select_documents(docs, table(spark, folder, "labels")).select("doc_id", "expected_grade", "tail")
 
 
+@query("op7_trie")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return score_texts(table(spark, folder, "documents"))
+
+
 @query("op8_bpe")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = Vocabulary.read(RANKS)
