@@ -139,11 +139,12 @@ def _estimate_in_groups(cells: DataFrame, axes: Axes, schema: T.StructType) -> D
 
 def _estimate_in_spark(cells: DataFrame, axes: Axes, schema: T.StructType) -> DataFrame:
     """The same estimate without gathering an entity; tracks become part of the key."""
-    entity = [*axes.entity, "_track"]
+    # A surrogate that is never null stands for the entity, as joins leave out null keys.
+    cells = cells.withColumn("_entity", entity_text(axes.entity))
+    names = cells.groupBy("_entity").agg(*[F.first(named(key)).alias(key) for key in axes.entity])
+    entity = ["_entity", "_track"]
     tracks = [f"_track{place}" for place in range(len(axes.tracks))]
-    long = cells.unpivot(
-        [*[f"`{key}`" for key in axes.entity], "_feature", "_sample"], tracks, "_track", "_log"
-    ).filter(F.col("_log").isNotNull())
+    long = cells.unpivot(["_entity", "_feature", "_sample"], tracks, "_track", "_log").filter(F.col("_log").isNotNull())
     keys = [named(key) for key in entity]
 
     order = Window.partitionBy(*keys).orderBy(F.desc("_samples"), F.desc("_peak"), F.asc("_feature"))
@@ -183,16 +184,24 @@ def _estimate_in_spark(cells: DataFrame, axes: Axes, schema: T.StructType) -> Da
     value = F.pow(F.lit(2.0), F.col("_profile")) * F.col("_factor")
     return (
         profile.join(factor, on=entity)
-        .groupBy(*[named(key) for key in axes.entity], F.col("_sample").alias(axes.sample))
+        .groupBy("_entity", F.col("_sample").alias(axes.sample))
         .agg(
             *[
                 F.max(F.when(F.col("_track") == track, value)).alias(output)
                 for track, (_, output) in zip(tracks, axes.tracks, strict=True)
             ]
         )
+        .join(names, on="_entity")
+        .select(*[named(name) for name in schema.names])
     )
 
 
+def entity_text(keys: Sequence[str]) -> Column:
+    """Text that differs for different keys and is never null: each value behind its length, null as a dash."""
+    parts = [named(key).cast("string") for key in keys]
+    return F.concat(*[F.coalesce(F.concat(F.length(part).cast("string"), F.lit(":"), part), F.lit("-")) for part in parts])
+
+
 def rollup_directlfq(
     ds: Dataset,
     *,
@@ -221,17 +230,18 @@ def rollup_directlfq(
     )
     cells = _prepared_cells(rows, axes)
     keys = list(axes.entity)
-    # At most (all cells / budget) entities can be over the budget, so their list is small enough to broadcast.
     large = cells.groupBy(*[named(key) for key in keys]).agg(F.count("*").alias("_cells"))
     large = large.filter(F.col("_cells") > cell_budget).select(*[named(key).alias(f"_large_{key}") for key in keys])
     matches = [named(key).eqNullSafe(named(f"_large_{key}")) for key in keys]
-    ordinary = cells.join(F.broadcast(large), on=matches, how="left_anti")
-    oversized = cells.join(F.broadcast(large), on=matches, how="left_semi")
+    ordinary = cells.join(large, on=matches, how="left_anti")
+    oversized = cells.join(large, on=matches, how="left_semi")
     estimated = _estimate_in_groups(ordinary, axes, schema).unionByName(_estimate_in_spark(oversized, axes, schema))
     if not axes.preserved:
         return estimated
     kept = rows.df.groupBy(*[named(key) for key in axes.grain]).agg(*axes.preserved_columns())
-    return estimated.join(kept, on=axes.grain, how="left")
+    marks = {key: f"_kept_{place}" for place, key in enumerate(axes.grain)}
+    same = [named(key).eqNullSafe(named(mark)) for key, mark in marks.items()]
+    return estimated.join(kept.withColumnsRenamed(marks), on=same, how="left").drop(*marks.values())
 
 
 def quantify_proteins_directlfq(

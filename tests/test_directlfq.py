@@ -33,10 +33,20 @@ def test_small_example(matches):
     result = quantify_proteins_directlfq(matches, qvalue_threshold=0.05)
     assert result.roles.intensity == "directlfq_intensity"
     rows = {(row["sample"], row["protein_group"]): row for row in result.df.collect()}
-    assert set(rows) == {("s1", "P1"), ("s2", "P1")}
+    assert set(rows) == {("r1", "G1"), ("r2", "G1"), ("r2", "G3")}
     assert all(row["directlfq_intensity"] > 0 and row["directlfq_raw"] > 0 for row in rows.values())
     kept = rollup_directlfq(matches, qvalue_threshold=0.05, preserved={"qvalue": "min"}, **OPTIONS)
-    assert {row["sample"]: row["qvalue"] for row in kept.collect()} == {"s1": 0.01, "s2": 0.03}
+    found = {(row["sample"], row["protein_group"]): row["qvalue"] for row in kept.collect()}
+    assert found == {("r1", "G1"): 0.004, ("r2", "G1"): 0.03, ("r2", "G3"): 0.02}
+
+
+def test_null_entity_is_the_same_over_and_under_the_budget(matches):
+    options = {**OPTIONS, "keep_unassigned": True, "preserved": {"qvalue": "min"}}
+    under, over = (rollup_directlfq(matches, cell_budget=budget, **options).collect() for budget in (10**6, 0))
+    key = lambda row: (str(row["protein_group"]), row["sample"])
+    assert {key(row): row["qvalue"] for row in under}["None", "r3"] == 0.01
+    for one, two in zip(sorted(under, key=key), sorted(over, key=key), strict=True):
+        assert one.asDict() == pytest.approx(two.asDict())
 
 
 def test_one_feature_returns_the_input(spark):

@@ -61,6 +61,14 @@ def test_scoring_shuffles_nothing(rescored):
     assert plan.count("Exchange") == rescored.df.drop("rescore")._jdf.queryExecution().executedPlan().toString().count("Exchange")
 
 
+def test_few_distinct_rows_keep_their_direction(spark):
+    rows = [(place, place % 2 == 0, float(place % 2 == 0 and place % 4 == 0), float(place % 3)) for place in range(6000)]
+    df = spark.createDataFrame(rows, "id long, target boolean, a double, b double")
+    scored = rescore(Dataset(df, Roles(spectrum=("id",), scores=("a", "b"))), folds=2, train_fdr=0.05, max_iter=2).df
+    found = {row["a"]: row["mean"] for row in scored.groupBy("a").agg(F.avg("rescore").alias("mean")).collect()}
+    assert found[1.0] > found[0.0]
+
+
 def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(place, False, 1.0) for place in range(20)], "id long, target boolean, a double")
     ds = Dataset(df, Roles(spectrum=("id",), scores=("a",)))

@@ -23,7 +23,7 @@ def psms(spark):
 @pytest.fixture(scope="module")
 def spectra(spark):
     df = spark.range(1, 9).select(F.col("id").cast("int").alias("scan"), F.lit("f1").alias("file"))
-    pairs = F.array(F.array(F.lit(1234.5), F.lit(0.67)), F.array(F.lit(123.4), F.lit(0.33)))
+    pairs = F.array(F.array(F.lit(871.25), F.lit(0.58)), F.array(F.lit(123.4), F.lit(0.33)))
     df = df.withColumns({"z": F.lit(2), "mz": F.lit(500.5), "rt": F.lit(60.0), "peaks": pairs_as_peaks(pairs)})
     return Dataset(df, Roles(spectrum=("scan", "file"), charge="z", mz="mz", rt="rt", peaks="peaks", target=None))
 
@@ -41,7 +41,7 @@ def test_library(psms, spectra, tmp_path, spark):
     assert dict(rows.dtypes)["PrecursorCharge"] == "int"
     text = [line for path in (tmp_path / "library").glob("*.csv") for line in path.read_text().splitlines()]
     assert text[0].split("\t") == rows.columns
-    assert sum(line.startswith("C(UniMod:4)K\t2\t500.5\t60.0\tfalse\t1234.5\t0.67\t0.001") for line in text) == 1
+    assert sum(line.startswith("C(UniMod:4)K\t2\t500.5\t60.0\tfalse\t871.25\t0.58\t0.001") for line in text) == 1
     assert not any('"' in line for line in text)
 
 
