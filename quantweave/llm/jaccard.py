@@ -17,6 +17,8 @@ from quantweave.operators.components import connected_components
 #: Slots of the frequency table that every task gets, and the document frequencies at which its levels rise.
 SLOTS = 1 << 22
 LEVELS = (2, 8, 32, 128, 512, 4096, 65536)
+#: Rounds that compare each node with one partner before all pairs that are left are compared.
+STAR_ROUNDS = 4
 EMPTY = np.empty(0, np.uint64)
 
 
@@ -193,10 +195,10 @@ def jaccard_groups(
     links reach) and ``node`` (class of equal sets). Empty sets link to nothing, nor do rows with a null key; rows
     with equal keys are texts of their own. Other columns are left out.
 
-    Equal sets are one node, so copies make no pairs. Links are found in two rounds, which together lose none: in the
-    first, each node is compared with the one partner that shares most of its prefix, out of each n-gram's smallest
-    node; that joins nearly all groups with one comparison a node. In the second, all pairs that share a prefix n-gram
-    are compared whose nodes are still in different groups; pairs within a group cannot change it.
+    Equal sets are one node, so copies make no pairs. A few rounds compare each node with one partner in another
+    group, the one that shares most of its prefix out of one hub for each n-gram, a different one each round; that
+    joins nearly all groups with a comparison a node and round. Then all pairs are compared that share a prefix n-gram
+    and are still in different groups; pairs within a group cannot change it. Together they lose no link.
     """
     spark = docs.sparkSession
     rows = sets(docs, size)
@@ -208,43 +210,66 @@ def jaccard_groups(
     prefixes = shared_prefixes(own, levels, size, percent, parts)
     fits = F.greatest("na", "nb") * percent <= F.least("na", "nb") * 100
 
+    meeting = materialise(prefixes.select("node").distinct(), "meeting")
+    chosen = materialise(nodes.join(bounded(meeting), on="node", how="left_semi").select("doc_id", "node"), "chosen")
+    pieces = fragment_rows(own, chosen, levels, size, fragments)
+
     def compared(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        chosen = materialise(nodes.join(bounded(materialise(ends, "ends")), on="node", how="left_semi").select("doc_id", "node"), "chosen")
-        return materialise(linked(pairs, fragment_rows(own, chosen, levels, size, fragments), percent).select("a", "b"), "links")
+        return materialise(linked(pairs, pieces, percent).select("a", "b"), "links")
+
+    placed = prefixes.withColumn("group", F.col("node"))
+    links = groups = tried = None
+    for turn in range(STAR_ROUNDS):
+        order = F.xxhash64(F.lit(turn), "node")
+        hubs = placed.groupBy("gram").agg(
+            F.min_by(F.struct("node", "n", "group"), order).alias("hub"), F.min("group").alias("low"), F.max("group").alias("high")
+        ).filter("low <> high")
+        near = placed.join(hubs, on="gram").select(
+            F.col("node").alias("a"), F.col("n").alias("na"), F.col("hub.node").alias("b"), F.col("hub.n").alias("nb"),
+            (F.col("group") != F.col("hub.group")).alias("apart"),
+        )
+        shares = near.filter(F.col("apart") & fits).groupBy("a", "na", "b", "nb").count()
+        best = shares.groupBy("a", "na").agg(F.max(F.struct("count", "b", "nb")).alias("most"))
+        pairs = materialise(best.select("a", F.col("most.b").alias("b"), "na", F.col("most.nb").alias("nb")), "pairs")
+        found = compared(pairs)
+        seen = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        tried = seen if tried is None else tried.unionByName(seen)
+        if found.isEmpty():
+            break
+        links = found if links is None else links.unionByName(found)
+        groups = node_groups(links)
+        placed = materialise(with_groups(prefixes, groups), "placed")
 
-    hubs = prefixes.groupBy("gram").agg(F.min(F.struct("node", "n")).alias("hub"))
-    near = prefixes.join(hubs, on="gram").select(
-        F.col("node").alias("a"), F.col("n").alias("na"), F.col("hub.node").alias("b"), F.col("hub.n").alias("nb")
-    )
-    shares = near.filter((F.col("a") != F.col("b")) & fits).groupBy("a", "na", "b", "nb").count()
-    best = shares.groupBy("a", "na").agg(F.max(F.struct("count", "b", "nb")).alias("most"))
-    first = materialise(best.select("a", F.col("most.b").alias("b"), "na", F.col("most.nb").alias("nb")), "pairs")
-    links = compared(first)
-    groups = node_groups(links)
-
-    placed = prefixes.join(groups, on="node", how="left").withColumn("group", F.coalesce("group", "node"))
-    placed = materialise(placed, "placed")
     mixed = placed.groupBy("gram").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high")
     live = placed.join(mixed.select("gram"), on="gram", how="left_semi")
     one = live.select("gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("group").alias("ga"))
     two = live.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("group").alias("gb"))
     rest = one.join(two, on="gram").filter((F.col("ga") != F.col("gb")) & (F.col("a") < F.col("b")) & fits)
-    rest = rest.select("a", "b", "na", "nb").distinct()
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    rest = materialise(rest.join(tried, on=["a", "b"], how="left_anti"), "pairs")
-    more = compared(rest)
+    # Grams up to the nearer end of both prefixes are counted here; of the rest, the set that ends there first has
+    # required(n) - 1 at most. Pairs that this bound rules out need no comparison.
+    needed = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
+    most = F.col("count") + F.ceil(F.greatest("na", "nb") * percent / 100) - 1
+    rest = rest.groupBy("a", "b", "na", "nb").count().filter(most >= needed - 1e-9).drop("count")
+    if tried is not None:
+        rest = rest.join(tried.distinct(), on=["a", "b"], how="left_anti")
+    more = compared(materialise(rest, "pairs"))
     if not more.isEmpty():
-        groups = node_groups(links.unionByName(more))
+        groups = node_groups(more if links is None else links.unionByName(more))
 
-    member = nodes.join(groups, on="node", how="left").withColumn("group", F.coalesce("group", "node"))
-    member = materialise(member, "members")
+    member = materialise(with_groups(nodes, groups), "members")
     smallest = materialise(member.groupBy("group").agg(F.min("doc_id").alias("component_id")), "smallest")
     named = materialise(member.join(smallest, on="group").select("node", "component_id"), "named")
     known = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.join(named, on="node", how="left").select("doc_id", "n_shingles", known.alias("component_id"), "node")
 
 
+def with_groups(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
+    """Rows with the ``group`` of their ``node``: the node itself where it has no links."""
+    if groups is None:
+        return rows.withColumn("group", F.col("node"))
+    return rows.join(groups, on="node", how="left").withColumn("group", F.coalesce("group", "node"))
+
+
 def node_groups(links: DataFrame) -> DataFrame:
     """``node`` and ``group`` (its smallest node) of the nodes with links."""
     ends = links.select(F.struct("a", "b").alias("link"), F.explode(F.array("a", "b")).alias("node"))
