@@ -18,9 +18,21 @@ FOUND = "doc_id long, item_id long, score double, first_word int, last_word int"
 MATCH, MISMATCH, GAP = 2, -1, 1
 
 
-def plain_words(body: bytes) -> list[bytes]:
-    """Words in lower case without punctuation at their ends; words of punctuation only are left out."""
-    return [word for one in body.lower().split() if (word := one.strip(STRIPPED))]
+class PlainHashes(WordHashes):
+    """Hash of a word without punctuation at its ends, remembered by the word as it stands; 0 if nothing is left."""
+
+    def __missing__(self, word: bytes) -> int:
+        plain = word.strip(STRIPPED)
+        if plain == word:
+            return super().__missing__(word)
+        value = self[plain] if plain else 0
+        self[word] = value
+        return value
+
+    def plain(self, body: bytes) -> np.ndarray:
+        """Hashes of the words of a text in lower case; words of punctuation only are left out."""
+        found = self.of(body.lower().split())
+        return found[found != 0]
 
 
 def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
@@ -68,18 +80,29 @@ class Seeds:
 
     def present(self, words: np.ndarray) -> np.ndarray:
         """Distinct seeds of a text."""
-        found = np.unique(np.concatenate([ngram_hashes(words, size) for size in self.sizes] or [self.value[:0]]))
-        return found[np.isin(found, self.value)]
+        if not len(self.value):
+            return self.value
+        every = [ngram_hashes(words, size) for size in self.sizes]
+        return np.unique(np.concatenate([grams[self.known(grams)[0]] for grams in every]))
+
+    def known(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which n-grams are seeds, and the place of each of these among the seeds."""
+        if not len(self.value):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        low = np.searchsorted(self.value, grams)
+        at = np.flatnonzero(self.value[np.minimum(low, len(self.value) - 1)] == grams)
+        return at, low[at]
 
     def hits(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(item, positions in the text, positions in the item) for every item with a seed in the text."""
         places, items, offsets = [], [], []
         for size in self.sizes:
             grams = ngram_hashes(words, size)
-            low, high = np.searchsorted(self.value, grams, "left"), np.searchsorted(self.value, grams, "right")
-            at = np.flatnonzero(high > low)
-            count = (high - low)[at]
-            slot = np.repeat(low[at] - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
+            at, low = self.known(grams)
+            if not len(at):
+                continue
+            count = np.searchsorted(self.value, grams[at], "right") - low
+            slot = np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
             places.append(np.repeat(at, count))
             items.append(self.item[slot])
             offsets.append(self.place[slot])
@@ -137,8 +160,8 @@ def find_contamination(
     found = None
     for number in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).orderBy("item_id").collect()
-        hashes = WordHashes()
-        seeds = Seeds([(row["item_id"], hashes.of(plain_words(row["body"]))) for row in part], size)
+        hashes = PlainHashes()
+        seeds = Seeds([(row["item_id"], hashes.plain(row["body"])) for row in part], size)
         counts = _document_counts(rows, spark.sparkContext.broadcast(seeds))
         seeds.keep(_rare(seeds, counts, rare_share * total))
         one = _aligned(rows, spark.sparkContext.broadcast(seeds), least)
@@ -150,10 +173,10 @@ def _document_counts(rows: DataFrame, seeds) -> dict[int, int]:
     """In how many documents each seed occurs; the result is as small as the block of items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = WordHashes(), defaultdict(int)
+        hashes, counts = PlainHashes(), defaultdict(int)
         for batch in batches:
             for body in batch.column("body"):
-                for gram in seeds.value.present(hashes.of(plain_words(body.as_py()))).view(np.int64).tolist():
+                for gram in seeds.value.present(hashes.plain(body.as_py())).view(np.int64).tolist():
                     counts[gram] += 1
         arrays = [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())]
         yield pa.RecordBatch.from_arrays(arrays, names=["gram", "n"])
@@ -174,11 +197,11 @@ def _rare(seeds: Seeds, counts: dict[int, int], most: float) -> np.ndarray:
 
 def _aligned(rows: DataFrame, seeds, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = PlainHashes()
         for batch in batches:
             held = []
             for doc, body in zip(batch.column("doc_id").to_pylist(), batch.column("body")):
-                words = hashes.of(plain_words(body.as_py()))
+                words = hashes.plain(body.as_py())
                 for number, score, first, last in align(seeds.value, words, least):
                     held.append((doc, seeds.value.items[number][0], score, first, last))
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32())
