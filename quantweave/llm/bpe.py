@@ -6,6 +6,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -70,44 +71,51 @@ class Vocabulary:
         rank = self.slots[_slot(value, self.shifts[value % len(self.shifts)], len(self.slots))]
         return rank if self.tokens[rank] == token else -1
 
+    @cached_property
+    def merges(self) -> dict[bytes, int]:
+        """Rank of what two neighbours merge to. A task makes it when it first misses; it is not sent."""
+        return {token: rank for rank, token in enumerate(self.tokens)}
+
     def pieces(self, token: bytes) -> list[int]:
         """Ids of one pre-token. A miss merges its bytes, always the pair of lowest rank and of those the leftmost.
 
-        The bytes form a linked list and the mergeable pairs a heap, so a pre-token of n bytes takes n log n steps.
+        The bytes form a linked list and the mergeable pairs a heap, so a pre-token of n bytes takes n log n steps. A
+        heap entry is one number: rank, left end and right end of a pair. A byte that is merged away ends at 0.
         """
         whole = self.rank(token)
         if whole >= 0:
             return [whole]
-        size = len(token)
-        ends = list(range(1, size + 1))
-        before = list(range(-1, size - 1))
-        alive = [True] * size
-        heap: list[tuple[int, int, int]] = []
-
-        def offer(left: int) -> None:
-            right = ends[left]
-            if right < size and (rank := self.rank(token[left : ends[right]])) >= 0:
-                heap.append((rank, left, ends[right])) if building else heapq.heappush(heap, (rank, left, ends[right]))
-
-        building = True
+        merges, size = self.merges, len(token)
+        width = size + 1
+        square = width * width
+        ends = [*range(1, width), 0]
+        before = list(range(-1, size))
+        heap = []
         for left in range(size - 1):
-            offer(left)
-        building = False
+            rank = merges.get(token[left : left + 2])
+            if rank is not None:
+                heap.append(rank * square + left * width + left + 2)
         heapq.heapify(heap)
         while heap:
-            _, left, end = heapq.heappop(heap)
-            if not alive[left] or ends[left] >= end or ends[ends[left]] != end:
+            left, end = divmod(heapq.heappop(heap) % square, width)
+            middle = ends[left]
+            if not middle or ends[middle] != end:
                 continue
-            alive[ends[left]] = False
+            ends[middle] = 0
             ends[left] = end
             if end < size:
                 before[end] = left
-                offer(left)
-            if before[left] >= 0:
-                offer(before[left])
+                rank = merges.get(token[left : ends[end]])
+                if rank is not None:
+                    heapq.heappush(heap, rank * square + left * width + ends[end])
+            other = before[left]
+            if other >= 0:
+                rank = merges.get(token[other:end])
+                if rank is not None:
+                    heapq.heappush(heap, rank * square + other * width + end)
         found, left = [], 0
         while left < size:
-            found.append(self.rank(token[left : ends[left]]))
+            found.append(merges[token[left : ends[left]]])
             left = ends[left]
         return found
 
