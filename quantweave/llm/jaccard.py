@@ -17,8 +17,12 @@ from quantweave.operators.components import connected_components
 #: Slots of the frequency table that every task gets, and the document frequencies at which its levels rise.
 SLOTS = 1 << 22
 LEVELS = (2, 8, 32, 128, 512, 4096, 65536)
-#: Rounds that compare each node with one partner before all pairs that are left are compared.
+#: Most rounds that compare each node with one partner before all pairs that are left are compared, and the share of
+#: its pairs that a round must link to be followed by another.
 STAR_ROUNDS = 4
+STAR_SHARE = 0.05
+#: Bits, 64 to a number, of the map that bounds from below how much two sets differ.
+MAP_WORDS = 16
 EMPTY = np.empty(0, np.uint64)
 
 
@@ -35,6 +39,16 @@ def _identity(grams: np.ndarray) -> int:
     return int(np.array(xxhash.xxh3_64_intdigest(grams.tobytes()), np.uint64).view(np.int64))
 
 
+def _map(grams: np.ndarray) -> np.ndarray:
+    """Parity of the number of n-grams in each of ``64 * MAP_WORDS`` classes, as ``MAP_WORDS`` longs.
+
+    Each n-gram that only one of two sets holds flips one bit, so the sets differ in at least as many n-grams as their
+    maps do in bits.
+    """
+    counts = np.bincount((grams >> np.uint64(8)).astype(np.int64) & (64 * MAP_WORDS - 1), minlength=64 * MAP_WORDS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _reader(size: int):
     words = WordHashes()
     return lambda body: shingles(words.of(body.lower().split()), size)
@@ -55,17 +69,19 @@ def required(size: int, percent: int) -> int:
 
 
 def sets(docs: DataFrame, size: int = 5) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``node``, which is equal for documents with equal sets and null for empty ones."""
+    """``doc_id``, ``n_shingles``, ``node``, which is equal for documents with equal sets and null for empty ones, and ``map``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = _reader(size)
         for batch in batches:
             grams = [read(body.as_py()) for body in batch.column("body")]
             nodes = [_identity(one) if len(one) else None for one in grams]
-            arrays = [batch.column("doc_id"), pa.array([len(one) for one in grams], pa.int64()), pa.array(nodes, pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "node"])
+            maps = np.concatenate([_map(one) for one in grams]) if grams else np.empty(0, np.int64)
+            maps = pa.ListArray.from_arrays(pa.array(np.arange(len(grams) + 1) * MAP_WORDS, pa.int32()), pa.array(maps))
+            arrays = [batch.column("doc_id"), pa.array([len(one) for one in grams], pa.int64()), pa.array(nodes, pa.int64()), maps]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_shingles", "node", "map"])
 
-    return materialise(texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node long"), "sets")
+    return materialise(texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, map array<long>"), "sets")
 
 
 def frequency_levels(docs: DataFrame, size: int, parts: int) -> np.ndarray:
@@ -110,9 +126,12 @@ def frequency_levels(docs: DataFrame, size: int, parts: int) -> np.ndarray:
 
 
 def shared_prefixes(docs: DataFrame, levels, size: int, percent: int, parts: int) -> DataFrame:
-    """``gram``, ``node``, ``n``: n-grams that are in the prefixes of several sets.
+    """``gram``, ``node``, ``n``, ``end``, ``most``: n-grams that are in the prefixes of several sets.
 
     Two sets with the needed overlap share an n-gram among the first n - required(n) + 1 of each in the global order.
+    ``end`` is the place of the prefix's last n-gram in that order, ``most`` the number of all n-grams but for those of
+    the prefix that no other prefix holds. Of two sets, that whose prefix ends first shares ``most`` at most: what it
+    shares of its prefix lies in the other's prefix too.
     """
 
     def hashes():
@@ -122,25 +141,31 @@ def shared_prefixes(docs: DataFrame, levels, size: int, percent: int, parts: int
             grams = read(body)
             node = _identity(grams)
             if node in seen or not len(grams):
-                return (node, 0), EMPTY
+                return (node, 0, 0), EMPTY
             if len(seen) > 1_000_000:
                 seen.clear()
             seen.add(node)
-            return (node, len(grams)), ranked(grams, levels.value)[: len(grams) - required(len(grams), percent) + 1]
+            prefix = ranked(grams, levels.value)[: len(grams) - required(len(grams), percent) + 1]
+            last = prefix[-1:]
+            end = (int(levels.value[_slot(last)][0]) << 59) | int(last[0]) >> 5
+            return (node, len(grams), end), prefix
 
         return of
 
     def shared(group: pa.Table) -> pa.Table:
-        value, name = unpacked(group, 2)
+        value, name = unpacked(group, 3)
         # The same set can come from several tasks.
         new = np.r_[True, (value[1:] != value[:-1]) | (name[1:, 0] != name[:-1, 0])]
         value, name = value[new], name[new]
         starts, ends = runs(value)
         keep = np.repeat(ends - starts > 1, ends - starts)
-        return pa.table({"gram": value[keep].view(np.int64), "node": name[keep, 0], "n": pa.array(name[keep, 1], pa.int64())})
+        node, n, end = (pa.array(name[keep, place], pa.int64()) for place in range(3))
+        return pa.table({"gram": value[keep].view(np.int64), "node": node, "n": n, "end": end})
 
     packed = postings(texts(docs), hashes, parts)
-    return materialise(packed.groupBy("part").applyInArrow(shared, "gram long, node long, n long"), "prefixes")
+    rows = materialise(packed.groupBy("part").applyInArrow(shared, "gram long, node long, n long, end long"), "shared")
+    held = materialise(rows.groupBy("node").agg((F.count("*") + F.ceil(F.first("n") * percent / 100) - 1).alias("most")), "held")
+    return materialise(rows.join(held, on="node"), "prefixes")
 
 
 def fragment_rows(docs: DataFrame, chosen: DataFrame, levels, size: int, fragments: int) -> DataFrame:
@@ -197,13 +222,16 @@ def jaccard_groups(
 
     Equal sets are one node, so copies make no pairs. A few rounds compare each node with one partner in another
     group, the one that shares most of its prefix out of one hub for each n-gram, a different one each round; that
-    joins nearly all groups with a comparison a node and round. Then all pairs are compared that share a prefix n-gram
-    and are still in different groups; pairs within a group cannot change it. Together they lose no link.
+    joins nearly all groups with a comparison a node and round. Even rounds take as hub the node with the smallest part
+    of unshared n-grams, which in a family of edited copies is its origin, odd rounds any node. Then all pairs are
+    compared that share a prefix n-gram, are still in different groups (pairs within a group cannot change it) and that
+    no bound rules out: what both prefixes leave, and the bits in which maps of both sets differ. No link is lost.
     """
     spark = docs.sparkSession
     rows = sets(docs, size)
     real = rows.filter("doc_id is not null and node is not null")
-    nodes = materialise(real.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n")), "nodes")
+    kept = (F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("map").alias("map"))
+    nodes = materialise(real.groupBy("node").agg(*kept), "nodes")
     parts = parts or part_count(docs)
     own = docs.filter(F.col("doc_id").isNotNull())
     levels = spark.sparkContext.broadcast(frequency_levels(own, size, parts))
@@ -221,6 +249,9 @@ def jaccard_groups(
     links = groups = tried = None
     for turn in range(STAR_ROUNDS):
         order = F.xxhash64(F.lit(turn), "node")
+        if turn % 2 == 0:
+            alone = F.when(F.col("group") == F.col("node"), 0).otherwise(1) if turn else F.lit(0)
+            order = F.struct(alone.alias("joined"), ((F.col("n") - F.col("most")) / F.col("n")).alias("unshared"), order.alias("any"))
         hubs = placed.groupBy("gram").agg(
             F.min_by(F.struct("node", "n", "group"), order).alias("hub"), F.min("group").alias("low"), F.max("group").alias("high")
         ).filter("low <> high")
@@ -234,33 +265,44 @@ def jaccard_groups(
         found = compared(pairs)
         seen = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         tried = seen if tried is None else tried.unionByName(seen)
-        if found.isEmpty():
+        new = found.count()
+        if not new:
             break
         links = found if links is None else links.unionByName(found)
         groups = node_groups(links)
         placed = materialise(with_groups(prefixes, groups), "placed")
+        if new < STAR_SHARE * pairs.count():
+            break
 
     mixed = placed.groupBy("gram").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high")
     live = placed.join(mixed.select("gram"), on="gram", how="left_semi")
-    one = live.select("gram", F.col("node").alias("a"), F.col("n").alias("na"), F.col("group").alias("ga"))
-    two = live.select("gram", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("group").alias("gb"))
-    rest = one.join(two, on="gram").filter((F.col("ga") != F.col("gb")) & (F.col("a") < F.col("b")) & fits)
+    fields = {"node": "", "n": "n", "group": "g", "end": "e", "most": "m"}
+    one = live.select("gram", *[F.col(name).alias(f"{short}a") for name, short in fields.items()])
+    two = live.select("gram", *[F.col(name).alias(f"{short}b") for name, short in fields.items()])
+    # Overlap that the pair needs, in whole numbers: percent * (na + nb) / (100 + percent), rounded up.
+    needed = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
+    most = F.when(F.col("ea") < F.col("eb"), F.col("ma")).when(F.col("ea") > F.col("eb"), F.col("mb")).otherwise(F.greatest("ma", "mb"))
+    rest = one.join(two, on="gram").filter((F.col("ga") != F.col("gb")) & (F.col("a") < F.col("b")) & fits & (most >= needed))
     # Grams up to the nearer end of both prefixes are counted here; of the rest, the set that ends there first has
     # required(n) - 1 at most. Pairs that this bound rules out need no comparison.
-    needed = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
     most = F.col("count") + F.ceil(F.greatest("na", "nb") * percent / 100) - 1
-    rest = rest.groupBy("a", "b", "na", "nb").count().filter(most >= needed - 1e-9).drop("count")
+    rest = rest.groupBy("a", "b", "na", "nb").count().filter(most >= needed).drop("count")
+    for end in "ab":
+        rest = rest.join(nodes.select(F.col("node").alias(end), F.col("map").alias(f"map_{end}")), on=end)
+    bits = F.zip_with("map_a", "map_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differ = F.aggregate(bits, F.lit(0), lambda total, one: total + one)
+    rest = rest.filter(F.col("na") + F.col("nb") - differ >= 2 * needed).select("a", "b", "na", "nb")
     if tried is not None:
         rest = rest.join(tried.distinct(), on=["a", "b"], how="left_anti")
     more = compared(materialise(rest, "pairs"))
     if not more.isEmpty():
         groups = node_groups(more if links is None else links.unionByName(more))
 
-    member = materialise(with_groups(nodes, groups), "members")
+    member = materialise(with_groups(nodes.select("node", "doc_id"), groups), "members")
     smallest = materialise(member.groupBy("group").agg(F.min("doc_id").alias("component_id")), "smallest")
     named = materialise(member.join(smallest, on="group").select("node", "component_id"), "named")
     known = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return rows.join(named, on="node", how="left").select("doc_id", "n_shingles", known.alias("component_id"), "node")
+    return rows.drop("map").join(named, on="node", how="left").select("doc_id", "n_shingles", known.alias("component_id"), "node")
 
 
 def with_groups(rows: DataFrame, groups: DataFrame | None) -> DataFrame:
