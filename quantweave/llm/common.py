@@ -68,6 +68,50 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+def _weights(count: int) -> np.ndarray:
+    """Odd 64-bit weights of the first ``count`` places of a word."""
+    return mixed(np.arange(1, count + 1, dtype=np.uint64) * MIX) | np.uint64(1)
+
+
+BYTE_VALUES = mixed(np.arange(257, 513, dtype=np.uint64) * MIX)
+FOLDED_VALUES = np.r_[BYTE_VALUES[:65], BYTE_VALUES[97:123], BYTE_VALUES[91:]]
+SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+PLACES = _weights(1 << 12)
+
+
+def word_hashes(body: bytes, fold: bool = False, block: int = 1 << 18) -> np.ndarray:
+    """64-bit hash of each word of a text, in order; with ``fold``, A-Z count as a-z.
+
+    A word is a run of bytes other than 0x20 and 0x09 to 0x0D. Its hash adds up the value of each byte times the weight
+    of its place. Long texts are read in blocks of whole words, so memory stays near a block or the longest word.
+    """
+    every = np.frombuffer(body, np.uint8)
+    values = FOLDED_VALUES if fold else BYTE_VALUES
+    found, begin = [], 0
+    while begin < len(every):
+        end = begin + block
+        while end < len(every):
+            gap = np.flatnonzero(SPACE[every[end : end + block]])
+            if len(gap):
+                end += int(gap[0])
+                break
+            end += block
+        part = every[begin:end]
+        begin = end
+        inside = ~SPACE[part]
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        if not len(starts):
+            continue
+        ends = np.cumsum(sizes)
+        place = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+        longest = int(sizes.max())
+        weights = PLACES if longest <= len(PLACES) else _weights(longest)
+        total = np.add.reduceat(values[part[inside]] * weights[place], ends - sizes)
+        found.append(mixed(total + sizes.astype(np.uint64) * MIX))
+    return np.concatenate(found) if found else np.empty(0, np.uint64)
+
+
 def ngram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hash of each run of ``size`` words; empty if there are fewer words."""
     count = len(words) - size + 1
@@ -186,4 +230,5 @@ __all__ = [
     "table",
     "texts",
     "unpacked",
+    "word_hashes",
 ]

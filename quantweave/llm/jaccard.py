@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantweave.llm.common import WordHashes, bounded, materialise, ngram_hashes, part_count, postings, runs, texts, unpacked
+from quantweave.llm.common import bounded, materialise, ngram_hashes, part_count, postings, runs, texts, unpacked, word_hashes
 from quantweave.operators.components import connected_components
 
 #: Slots of the frequency table that every task gets, and the document frequencies at which its levels rise.
@@ -50,8 +50,7 @@ def _map(grams: np.ndarray) -> np.ndarray:
 
 
 def _reader(size: int):
-    words = WordHashes()
-    return lambda body: shingles(words.of(body.lower().split()), size)
+    return lambda body: shingles(word_hashes(body, fold=True), size)
 
 
 def _slot(grams: np.ndarray) -> np.ndarray:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantweave.llm.common import WordHashes, bounded, materialise, ngram_hashes, part_count, postings, runs, texts, unpacked
+from quantweave.llm.common import bounded, materialise, ngram_hashes, part_count, postings, runs, texts, unpacked, word_hashes
 
 RECURRING = "owner long, doc_id long, windows binary"
 KEPT = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
@@ -25,8 +25,7 @@ def recurring_windows(docs: DataFrame, width: int = 13, parts: int | None = None
     """
 
     def hashes():
-        words = WordHashes()
-        return lambda doc, body: ((doc,), np.unique(ngram_hashes(words.of(body.split()), width)))
+        return lambda doc, body: ((doc,), np.unique(ngram_hashes(word_hashes(body), width)))
 
     def confirm(group: pa.Table) -> pa.Table:
         value, doc = unpacked(group)
@@ -62,13 +61,12 @@ def confirmed_passages(docs: DataFrame, recurring: DataFrame, width: int = 13) -
     """Passages of the owners: ``owner`` and ``passage`` (words joined by a space), maximal runs of windows they own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
             owners, found = [], []
             for owner, body, blobs in zip(*(batch.column(name).to_pylist() for name in ("doc_id", "body", "windows"))):
                 own = np.unique(np.concatenate([np.frombuffer(blob, np.uint64) for blob in blobs]))
                 text = body.split()
-                value, first = np.unique(ngram_hashes(words.of(text), width), return_index=True)
+                value, first = np.unique(ngram_hashes(word_hashes(body), width), return_index=True)
                 place = np.sort(first[np.isin(value, own, assume_unique=True)])
                 starts, ends = runs(place - np.arange(len(place)))
                 for start, end in zip(place[starts].tolist(), (place[ends - 1] + width).tolist() if len(place) else ()):
