@@ -274,23 +274,20 @@ def jaccard_groups(
             break
 
     mixed = placed.groupBy("gram").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high")
-    live = placed.join(mixed.select("gram"), on="gram", how="left_semi")
-    fields = {"node": "", "n": "n", "group": "g", "end": "e", "most": "m"}
+    live = placed.join(mixed.select("gram"), on="gram", how="left_semi").join(nodes.select("node", "map"), on="node")
+    fields = {"node": "", "n": "n", "group": "g", "end": "e", "most": "m", "map": "map_"}
     one = live.select("gram", *[F.col(name).alias(f"{short}a") for name, short in fields.items()])
     two = live.select("gram", *[F.col(name).alias(f"{short}b") for name, short in fields.items()])
     # Overlap that the pair needs, in whole numbers: percent * (na + nb) / (100 + percent), rounded up.
     needed = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
     most = F.when(F.col("ea") < F.col("eb"), F.col("ma")).when(F.col("ea") > F.col("eb"), F.col("mb")).otherwise(F.greatest("ma", "mb"))
-    rest = one.join(two, on="gram").filter((F.col("ga") != F.col("gb")) & (F.col("a") < F.col("b")) & fits & (most >= needed))
+    bits = [F.bit_count(F.col("map_a")[place].bitwiseXOR(F.col("map_b")[place])) for place in range(MAP_WORDS)]
+    near = F.col("na") + F.col("nb") - sum(bits[1:], bits[0]) >= 2 * needed
+    rest = one.join(two, on="gram").filter((F.col("ga") != F.col("gb")) & (F.col("a") < F.col("b")) & fits & (most >= needed) & near)
     # Grams up to the nearer end of both prefixes are counted here; of the rest, the set that ends there first has
     # required(n) - 1 at most. Pairs that this bound rules out need no comparison.
     most = F.col("count") + F.ceil(F.greatest("na", "nb") * percent / 100) - 1
     rest = rest.groupBy("a", "b", "na", "nb").count().filter(most >= needed).drop("count")
-    for end in "ab":
-        rest = rest.join(nodes.select(F.col("node").alias(end), F.col("map").alias(f"map_{end}")), on=end)
-    bits = F.zip_with("map_a", "map_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    differ = F.aggregate(bits, F.lit(0), lambda total, one: total + one)
-    rest = rest.filter(F.col("na") + F.col("nb") - differ >= 2 * needed).select("a", "b", "na", "nb")
     if tried is not None:
         rest = rest.join(tried.distinct(), on=["a", "b"], how="left_anti")
     more = compared(materialise(rest, "pairs"))
