@@ -22,9 +22,15 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+#: A secret's name, not of digits only, and what separates it from the value; both may be quoted and stand among blanks.
+NAME = r"(?<![A-Za-z0-9_-])(?![0-9]++(?![A-Za-z0-9_-]))[A-Za-z0-9_-]{2,}+"
+BETWEEN = r"[\"']?+[\x20\x09]*+(?:[=:]=|=>|[=:])[\x20\x09]*+"
+#: A value reaches its closing quote, or else the next white space; a word such as Bearer before it belongs to it.
+QUOTED = "|".join(rf"{q}(?=(?:[^{q}\\\x0A-\x0D]|\\.){{6}})[^{q}\\\x0A-\x0D]*+(?:\\.[^{q}\\\x0A-\x0D]*+)*+{q}(?:[A-Za-z0-9][^\x20\x09-\x0D]*+)?+" for q in "\"'")
+VALUE = rf"(?:(?i:bearer|basic|digest|token)[\x20\x09]++)?+(?:{QUOTED}|[^\x20\x09-\x0D]{{6,}}+)"
 #: Further candidates, which only the classifier can accept.
 MORE = {
-    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z_-]{2,24}+[=:][^\x20\x09-\x0D]{6,200}",
+    "secret": NAME + BETWEEN + VALUE,
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "local_phone": r"(?<![0-9+(.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9-])",
 }
@@ -37,7 +43,9 @@ GAZETTEER = {
     "ip": r"^(?!0|127\.|255\.)",
     "card": r"^(?:4|5[1-5]|2[2-7]|34|37|6011|65)",
     "phone": r"^\+(?:1|7|20|27|3[0-9]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])",
-    "secret": r"^(?i:password|passwd|pwd|secret|token|api_?key|access_?key|auth|bearer|key)[=:]",
+    "secret": r"^(?:[A-Za-z0-9_-]*(?:[_-]|[a-z0-9](?=[A-Z])))?"
+    r"(?i:password|passwd|pwd|secret|token|api_?key|access_?key|auth|authorization|bearer|key)"
+    rf"(?:[0-9_-][A-Za-z0-9_-]*)?{BETWEEN}",
     "ssn": r"^(?!000|666|9)",
     "local_phone": r"^\(?[2-9]",
 }

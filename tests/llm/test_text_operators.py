@@ -223,6 +223,22 @@ def test_warc_lookup(spark, tmp_path):
     assert [bytes(one["payload"]) for one in row] == [("page 33" * 50).encode()]
 
 
+def test_secrets_are_whole(spark):
+    hexes = hashlib.sha1(b"x").hexdigest()
+    secrets = [f'token = "{hexes}"', f"token\t=\t{hexes}", f"'api_key2': '{hexes}'", f'{{"api-key" : "{hexes}"}}', "password=" + "a1" * 250,
+               f'secret = "{"b2" * 250}"', f"production_database_service_password_2={hexes}", "pwd: 'correct horse 9 battery'",
+               r'secret="ab\"cd 12\\" x', f"Authorization: Bearer {hexes}", f"clientSecret := {hexes}", f"db2_key => {hexes}", f'key="{hexes}"tail9']
+    values = [hexes] * 4 + ["a1" * 250, "b2" * 250, hexes, "correct horse 9 battery", r'ab\"cd 12\\', hexes, hexes, hexes, hexes + '"tail9']
+    docs = spark.createDataFrame([(n, f"see {one} here") for n, one in enumerate(secrets)] + [(99, "at 10:30:45 and 12:345678")], "doc_id long, text string")
+    found = pii.candidates(docs)
+    rows = pii.accepted(found, pii.train(found)).select("doc_id", F.col("pii.kind").alias("kinds"), pii.masked(F.col("text"), F.col("pii")).alias("m"))
+    held = {row["doc_id"]: row for row in rows.collect()}
+    for n, value in enumerate(values):
+        assert held[n]["kinds"] == ["secret"] and "[SECRET]" in held[n]["m"] and held[n]["m"].endswith(" here"), secrets[n]
+        assert value not in held[n]["m"] and value[-6:] not in held[n]["m"]
+    assert held[99]["kinds"] == []
+
+
 def test_quality(spark):
     good, bad = [prose(60) for _ in range(800)], [prose(60) + " vile insult" for _ in range(240)]
     poor = [" | ".join(prose(30).split()) for _ in range(240)]
