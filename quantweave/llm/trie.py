@@ -293,11 +293,11 @@ def _shard_row(level: int, part: int, path: str, entries: int, tokens: int) -> p
     })
 
 
-def build(docs: DataFrame, order: int = 3, least: int = 2, discount: float = 0.75, parts: int | None = None) -> Model:
+def build(docs: DataFrame, order: int = 3, least: int = 1, discount: float = 0.75, parts: int | None = None) -> Model:
     """Train on ``docs`` (``body``): a level a pass, each written in shards by the tasks that count it.
 
-    The first level holds every training word; an entry of a further level has at least ``least`` counts, as have its
-    words. Probabilities are interpolated with absolute discounting, so what is discounted or left out goes to the
+    The first level holds every training word; a further level holds every n-gram, or with ``least`` above 1 those of at
+    least so many counts whose words have as many. Probabilities are interpolated with absolute discounting, so what is discounted or left out goes to the
     shorter context and each context's probabilities sum to one (up to quantisation). A shard is a range of parents;
     only the list of shards reaches the driver.
     """
@@ -394,13 +394,13 @@ def assemble(made: list[tuple[list[tuple[int, str, int]], int]], parts: int, tok
     return Model(levels, tokens, least)
 
 
-def score_texts(docs: DataFrame, order: int = 3, least: int = 2, parts: int | None = None) -> DataFrame:
+def score_texts(docs: DataFrame, order: int = 3, least: int = 1, parts: int | None = None) -> DataFrame:
     """Score every whole text by a model of the documents that are not held out.
 
     Tokens are words without white space, A-Z lower-cased, and one end a text. Returns ``doc_id``, ``held_out``,
     ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (unigrams with one added) and ``score`` (the trie's
     log10 probability). A null text is empty: one end. A null key counts as not held out; repeated rows are texts of
-    their own; other columns are left out. Without training tokens every token has the base probability 1.
+    their own; other columns are left out. Every training n-gram is stored and scored unless ``least`` is above 1. Without training tokens every token has the base probability 1.
     """
     if order > 3:
         raise ValueError("order is at most 3")

@@ -332,3 +332,39 @@ def test_trie(documents, corpus, empty):
     seen = [doc for doc in tokens if not held[doc]]
     assert sum(rows[doc]["score"] for doc in seen) > sum(rows[doc]["base_score"] for doc in seen)
     assert score_texts(empty).count() == 0
+
+
+def test_trie_keeps_ngrams_seen_once(documents, corpus):
+    from quantweave.llm.common import texts
+    from quantweave.llm.trie import build, held_out
+
+    train = texts(documents).withColumn("held", held_out(F.col("doc_id"))).filter("not held").select("body")
+    model = build(train, parts=3)
+    own = [[*row["body"].lower().split(), b""] for row in train.collect()]
+    for size, level in enumerate(model.levels, 1):
+        grams = collections.Counter(tuple(one[at : at + size]) for one in own for at in range(len(one) - size + 1))
+        assert level.size == len(grams) and min(grams.values()) == 1
+    # Interpolated absolute discounting, by hand, of the texts of few words.
+    counts = [collections.Counter(tuple(one[at : at + size]) for one in own for at in range(len(one) - size + 1)) for size in (1, 2, 3)]
+    total, vocabulary = sum(map(len, own)), len(counts[0])
+    # What follows a context, so that a context of n words is shared by its successors.
+    follow = [collections.Counter(gram[:-1] for gram in held) for held in counts]
+
+    def chance(gram):
+        if len(gram) == 1:
+            return (counts[0][gram] + 1) / (total + vocabulary + 1)
+        seen, context = counts[len(gram) - 1][gram], gram[:-1]
+        lower = chance(gram[1:])
+        if not follow[len(gram) - 1][context]:
+            return lower
+        # As the code does: the context's count is its own entry's.
+        whole = counts[len(gram) - 2][context]
+        kept = sum(n - 0.75 for other, n in counts[len(gram) - 1].items() if other[:-1] == context)
+        return max(seen - 0.75, 0) / whole + (1 - kept / whole) * lower
+
+    rows = {row["doc_id"]: row["score"] for row in score_texts(documents, parts=3).collect()}
+    for doc, text in corpus:
+        tokens = [*(text or "").encode().lower().split(), b""]
+        if len(tokens) <= 40:
+            exact = sum(math.log10(chance(tuple(tokens[max(0, at - 2) : at + 1]))) for at in range(len(tokens)))
+            assert abs(rows[doc] - exact) <= 0.07 * len(tokens)
