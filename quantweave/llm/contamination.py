@@ -1,9 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds join training passages to test items, Smith-Waterman scores them."""
+"""Benchmark decontamination: n-gram seeds join training texts to test items, a bound rules pairs out, Smith-Waterman scores the rest."""
 
 from __future__ import annotations
 
 import string
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +15,8 @@ from quantweave.llm.common import WordHashes, materialise, ngram_hashes, runs, t
 STRIPPED = string.punctuation.encode()
 FOUND = "doc_id long, item_id long, score double, first_word int, last_word int"
 MATCH, MISMATCH, GAP = 2, -1, 1
+#: Items of so few words have single words as seeds.
+SHORT = 8
 
 
 class PlainHashes(WordHashes):
@@ -63,76 +64,84 @@ def smith_waterman(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 
 class Seeds:
-    """Seed n-grams of a block of items, ordered by hash, with the items and positions they come from."""
+    """Seed n-grams of a block of items, ordered by hash, with the items they come from."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], size: int) -> None:
         self.items = items
-        grams = [ngram_hashes(words, min(size, max(1, len(words)))) for _, words in items]
+        width = [1 if len(words) <= SHORT else size for _, words in items]
+        grams = [np.unique(ngram_hashes(words, n)) for (_, words), n in zip(items, width)]
         item = np.repeat(np.arange(len(items)), [len(one) for one in grams])
-        place = np.concatenate([np.arange(len(one)) for one in grams]) if grams else np.empty(0, np.int64)
         value = np.concatenate(grams) if grams else np.empty(0, np.uint64)
         order = np.argsort(value, kind="stable")
-        self.value, self.item, self.place = value[order], item[order], place[order]
-        self.sizes = sorted({min(size, max(1, len(words))) for _, words in items if len(words)})
-
-    def keep(self, rare: np.ndarray) -> None:
-        self.value, self.item, self.place = self.value[rare], self.item[rare], self.place[rare]
-
-    def present(self, words: np.ndarray) -> np.ndarray:
-        """Distinct seeds of a text."""
+        value, self.item = value[order], item[order]
+        starts, ends = runs(value)
+        self.value, self.start, self.count = value[starts], starts, ends - starts
+        self.sizes = sorted({n for (_, words), n in zip(items, width) if len(words)})
+        self.length = np.array([len(words) for _, words in items], np.int64)
+        self.first = np.r_[0, np.cumsum(self.length)]
+        every = np.concatenate([words for _, words in items]) if items else np.empty(0, np.uint64)
+        self.words, self.own = np.unique(every, return_inverse=True)
+
+    def numbered(self, words: np.ndarray) -> np.ndarray:
+        """The place of each word among the words of the items, or one past them."""
+        at = np.searchsorted(self.words, words)
+        at[at < len(self.words)] += (self.words[at[at < len(self.words)]] != words[at < len(self.words)]) * len(self.words)
+        return np.minimum(at, len(self.words))
+
+    def matched(self, numbers: np.ndarray, there: np.ndarray) -> np.ndarray:
+        """How many words of each item are there."""
+        size = self.length[numbers]
+        begin = np.r_[0, np.cumsum(size)[:-1]]
+        slot = np.repeat(self.first[numbers] - begin, size) + np.arange(size.sum())
+        return np.add.reduceat(there[self.own[slot]].astype(np.int64), begin)
+
+    def items_in(self, words: np.ndarray) -> np.ndarray:
+        """Numbers of the items with a seed in the text, in order."""
         if not len(self.value):
-            return self.value
-        every = [ngram_hashes(words, size) for size in self.sizes]
-        return np.unique(np.concatenate([grams[self.known(grams)[0]] for grams in every]))
-
-    def known(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which n-grams are seeds, and the place of each of these among the seeds."""
-        if not len(self.value):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        low = np.searchsorted(self.value, grams)
-        at = np.flatnonzero(self.value[np.minimum(low, len(self.value) - 1)] == grams)
-        return at, low[at]
-
-    def hits(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(item, positions in the text, positions in the item) for every item with a seed in the text."""
-        places, items, offsets = [], [], []
+            return np.empty(0, np.int64)
+        there = np.zeros(len(self.value), bool)
         for size in self.sizes:
             grams = ngram_hashes(words, size)
-            at, low = self.known(grams)
-            if not len(at):
-                continue
-            count = np.searchsorted(self.value, grams[at], "right") - low
-            slot = np.repeat(low - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
-            places.append(np.repeat(at, count))
-            items.append(self.item[slot])
-            offsets.append(self.place[slot])
-        if not places or not sum(map(len, places)):
-            return
-        place, item, offset = map(np.concatenate, (places, items, offsets))
-        order = np.lexsort((place, item))
-        place, item, offset = place[order], item[order], offset[order]
-        for start, end in zip(*runs(item)):
-            yield int(item[start]), place[start:end], offset[start:end]
+            low = np.minimum(np.searchsorted(self.value, grams), len(self.value) - 1)
+            there[low[self.value[low] == grams]] = True
+        at = np.flatnonzero(there)
+        count = self.count[at]
+        slot = np.repeat(self.start[at] - np.r_[0, np.cumsum(count)[:-1]], count) + np.arange(count.sum())
+        return np.unique(self.item[slot])
 
 
 def align(seeds: Seeds, words: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
-    """(item number, score, first and last word) of the best alignment of each item that reaches ``least``.
+    """(item number, score, first and last word) of the best alignment of each item with a seed that reaches ``least``.
 
-    Hits of an item that lie within twice its length form a passage; a passage with two seeds or more, or with one of
-    an item of few words, is aligned together with an item's length on either side.
+    A text word that the item lacks costs one wherever an alignment covers it, so the largest sum of a stretch, with
+    two for each word that the item has, bounds the score of what ends there. Where the bound stays below, no alignment
+    can reach ``least``; an alignment that does covers at most three times the item's words.
     """
     found = []
-    for number, place, offset in seeds.hits(words):
+    numbers = seeds.items_in(words)
+    if not len(numbers):
+        return found
+    own = seeds.numbered(words)
+    worth = np.full(len(seeds.words) + 1, -GAP, np.int64)
+    there = np.zeros(len(seeds.words) + 1, bool)
+    there[own] = True
+    numbers = numbers[MATCH * seeds.matched(numbers, there) >= least * MATCH * seeds.length[numbers]]
+    for number in numbers.tolist():
         item = seeds.items[number][1]
-        cut = np.flatnonzero(np.diff(place) > 2 * len(item)) + 1
-        best = (0.0, 0, 0)
-        for hit, own in zip(np.split(place, cut), np.split(offset, cut)):
-            if len(np.unique(own)) < 2 and len(item) > 8:
-                continue
-            low, high = max(0, int(hit[0]) - len(item)), min(len(words), int(hit[-1]) + 2 * len(item))
-            for start in range(low, high, 2048):  # a passage of many repeats is aligned in overlapping pieces
-                text = words[start : min(high, start + 2048 + 2 * len(item))]
-                score, first, last = smith_waterman(item, text)
+        need = least * MATCH * len(item)
+        held = seeds.own[seeds.first[number] : seeds.first[number + 1]]
+        worth[held] = MATCH
+        value = worth[own]
+        worth[held] = -GAP
+        total = np.r_[0, np.cumsum(value)]
+        ends = np.flatnonzero((total - np.minimum.accumulate(total))[1:] >= need)
+        if not len(ends):
+            continue
+        reach, best = 3 * len(item), (0.0, 0, 0)
+        for part in np.split(ends, np.flatnonzero(np.diff(ends) > reach) + 1):
+            low, high = max(0, int(part[0]) + 1 - reach), int(part[-1]) + 1
+            for start in range(low, high, 2048):  # a long stretch is aligned in overlapping pieces
+                score, first, last = smith_waterman(item, words[start : min(high, start + 2048 + reach)])
                 if score / (MATCH * len(item)) > best[0]:
                     best = (score / (MATCH * len(item)), start + first, start + last)
         if best[0] >= least:
@@ -141,14 +150,15 @@ def align(seeds: Seeds, words: np.ndarray, least: float) -> list[tuple[int, floa
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, size: int = 3, least: float = 0.5, rare_share: float = 1e-3, block: int = 50_000
+    docs: DataFrame, benchmark: DataFrame, size: int = 2, least: float = 0.5, block: int = 50_000
 ) -> DataFrame:
     """Documents that hold a benchmark item or an edited copy: ``doc_id``, ``item_id``, ``score``, ``first_word``, ``last_word``.
 
     ``score`` is the Smith-Waterman score over that of a perfect copy; rows reach ``least``. Words are compared in lower
-    case without outer punctuation. Seeds are an item's n-grams of ``size`` words that at most ``rare_share`` of all
-    documents hold, and its rarer half in any case, so no item is without seeds. Items are broadcast in blocks of at
-    most about ``block`` items; documents never move. Items without words, null texts and empty texts match nothing;
+    case without outer punctuation. Seeds are all of an item's n-grams of ``size`` words, however frequent, or its single
+    words if it has at most ``SHORT``; every text with one is scored unless a bound shows that it can't reach ``least``.
+    So with ``size`` 2 only copies are missed in which no two neighbouring words of a longer item are left side by side.
+    Items are broadcast in blocks of at most about ``block`` items; documents never move. Items without words, null texts and empty texts match nothing;
     rows with a null key are left out; equal rows give equal rows; other columns are left out.
     """
     spark = docs.sparkSession
@@ -156,45 +166,16 @@ def find_contamination(
     items = items.filter("item_id is not null")
     blocks = max(1, -(-items.count() // block))
     rows = texts(docs).filter("doc_id is not null")
-    total = rows.count()
     found = None
     for number in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == number).orderBy("item_id").collect()
         hashes = PlainHashes()
         seeds = Seeds([(row["item_id"], hashes.plain(row["body"])) for row in part], size)
-        counts = _document_counts(rows, spark.sparkContext.broadcast(seeds))
-        seeds.keep(_rare(seeds, counts, rare_share * total))
         one = _aligned(rows, spark.sparkContext.broadcast(seeds), least)
         found = one if found is None else found.unionByName(one)
     return found
 
 
-def _document_counts(rows: DataFrame, seeds) -> dict[int, int]:
-    """In how many documents each seed occurs; the result is as small as the block of items."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = PlainHashes(), defaultdict(int)
-        for batch in batches:
-            for body in batch.column("body"):
-                for gram in seeds.value.present(hashes.plain(body.as_py())).view(np.int64).tolist():
-                    counts[gram] += 1
-        arrays = [pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["gram", "n"])
-
-    summed = rows.mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return {row["gram"]: row["n"] for row in summed.collect()}
-
-
-def _rare(seeds: Seeds, counts: dict[int, int], most: float) -> np.ndarray:
-    held = np.array([counts.get(gram, 0) for gram in seeds.value.view(np.int64).tolist()], np.int64)
-    rare = held <= max(most, 1)
-    order = np.lexsort((held, seeds.item))
-    starts, ends = runs(seeds.item[order])
-    for start, end in zip(starts, ends):
-        rare[order[start : start + (end - start + 1) // 2]] = True
-    return rare
-
-
 def _aligned(rows: DataFrame, seeds, least: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = PlainHashes()

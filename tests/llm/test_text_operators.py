@@ -271,6 +271,46 @@ def test_contamination(spark, empty):
     assert find_contamination(df, benchmark.limit(0)).count() == 0
 
 
+def edited_copy(rng, words, share):
+    """A copy with words replaced, left out and put in."""
+    out = []
+    for word in words:
+        kind = rng.random()
+        if kind < share:
+            out.append(f"e{rng.integers(10**6)}")
+        elif kind >= 1.3 * share:
+            out.append(word)
+        if rng.random() < 0.3 * share:
+            out.append(f"i{rng.integers(10**6)}")
+    return out
+
+
+def full_scores(items, docs):
+    """Every pair that reaches 0.5 by Smith-Waterman over the whole text, but for those without two neighbouring words."""
+    number = collections.defaultdict(lambda: len(number) + 1)
+    coded = lambda text: np.array([number[word] for word in text.split()], np.uint64)
+    expected = {}
+    for doc, text in docs:
+        for item, own in items:
+            pairs = lambda words: set(zip(words.split(), words.split()[1:]))
+            score = smith_waterman(coded(own), coded(text))[0] / (2 * len(own.split()))
+            if score >= 0.5 and (pairs(own) & pairs(text) or len(own.split()) <= 8):
+                expected[doc, item] = score
+    return expected
+
+
+def test_edited_copies_of_short_items(spark):
+    rng = np.random.default_rng(11)
+    items = [(n, " ".join(rng.choice(WORDS, size))) for n, size in enumerate([3, 5, 8, 9, 9, 10, 10, 12, 17, 22] * 2)]
+    nine = items[3][1].split()
+    docs = [(0, prose(30) + " " + " ".join(nine[:2] + ["x"] + nine[3:5] + ["y"] + nine[6:]) + " " + prose(30))]
+    docs += [(n, f"{prose(15)} {' '.join(edited_copy(rng, items[n % 20][1].split(), 0.3))} {prose(15)}") for n in range(1, 200)]
+    expected = full_scores(items, docs)
+    found = find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(row["doc_id"], row["item_id"]): row["score"] for row in found.collect()} == expected
+    assert (0, 3) in expected and len(expected) > 60
+
+
 def test_smith_waterman():
     def plain(a, b):
         table = np.zeros((len(a) + 1, len(b) + 1), int)
