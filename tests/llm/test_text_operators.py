@@ -311,6 +311,19 @@ def test_edited_copies_of_short_items(spark):
     assert (0, 3) in expected and len(expected) > 60
 
 
+def test_copies_do_not_make_seeds_frequent(spark):
+    rng = np.random.default_rng(12)
+    items = [(n, " ".join(rng.choice(WORDS, size))) for n, size in enumerate([10, 17, 22])]
+    exact = [(n, f"{prose(4)} {items[n % 3][1]} {prose(4)}") for n in range(1000)]
+    edited = [(n, f"{prose(9)} {' '.join(edited_copy(rng, items[n % 3][1].split(), 0.35))} {prose(9)}") for n in range(1000, 1200)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for docs in (exact + edited, edited):  # the rows of a document do not depend on the other documents
+        found = find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), benchmark).collect()
+        rows = {(row["doc_id"], row["item_id"]): row["score"] for row in found}
+        assert {pair: score for pair, score in rows.items() if pair[0] >= 1000} == full_scores(items, edited)
+        assert sum(pair[0] < 1000 and score == 1 for pair, score in rows.items()) == len(docs) - len(edited)
+
+
 def test_smith_waterman():
     def plain(a, b):
         table = np.zeros((len(a) + 1, len(b) + 1), int)
