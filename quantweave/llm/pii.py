@@ -215,7 +215,8 @@ def _probability(model: SpanModel, span: Column) -> Column:
 def accepted(found: DataFrame, model: SpanModel, threshold: float = 0.5) -> DataFrame:
     """The rows of :func:`candidates` with ``pii`` in its place: kind, start, end, base, probability, by start and kind.
 
-    Holds every base span, and the others of probability ``threshold`` or more that no base span overlaps.
+    Holds every base span, and the others of probability ``threshold`` or more, but for those that lie within one base
+    span and so add nothing to it.
     """
     scored = F.transform(
         "candidates",
@@ -230,7 +231,7 @@ def accepted(found: DataFrame, model: SpanModel, threshold: float = 0.5) -> Data
     )
     rows = found.withColumn("candidates", scored)
     certain = F.filter("candidates", lambda span: span["base"])
-    free = lambda span: ~F.exists(certain, lambda other: (other["start"] < span["end"]) & (span["start"] < other["end"]))
+    free = lambda span: ~F.exists(certain, lambda other: (other["start"] <= span["start"]) & (span["end"] <= other["end"]))
     further = F.filter("candidates", lambda span: ~span["base"] & (span["probability"] >= threshold) & free(span))
     return rows.withColumn("pii", F.array_sort(F.concat(certain, further))).drop("candidates")
 
@@ -246,7 +247,7 @@ def digest_text(spans: Column) -> Column:
 
 
 def masked(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the first one stands."""
+    """The text with each span replaced by its kind in brackets; overlapping spans are covered as a whole, in the first one's name."""
 
     def step(state: Column, span: Column) -> Column:
         gap = F.substring(text, state["at"] + 1, span["start"] - state["at"])

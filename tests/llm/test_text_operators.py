@@ -239,6 +239,16 @@ def test_secrets_are_whole(spark):
     assert held[99]["kinds"] == []
 
 
+def test_secret_beside_a_base_span(spark):
+    docs = [(0, "see password=bob@example.com!x9 here"), (1, "see password=a1!bob@example.com here"), (2, "see token = 1.2.3.4/secret9 here")]
+    docs += [(n, f"see secret = abc{n}def here") for n in range(10, 30)]
+    found = pii.candidates(spark.createDataFrame(docs, "doc_id long, text string"))
+    rows = pii.accepted(found, pii.train(found)).select("doc_id", pii.digest_text(F.col("pii")).alias("s"), pii.masked(F.col("text"), F.col("pii")).alias("m"))
+    held = {row["doc_id"]: (row["s"], row["m"]) for row in rows.collect()}
+    assert all(held[n][1] == "see [SECRET] here" for n in range(3)), held
+    assert held[0][0] == "secret:4:31,email:13:28" and held[2][0] == "secret:4:27,ip:12:19"
+
+
 def test_quality(spark):
     good, bad = [prose(60) for _ in range(800)], [prose(60) + " vile insult" for _ in range(240)]
     poor = [" | ".join(prose(30).split()) for _ in range(240)]
