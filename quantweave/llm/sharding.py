@@ -32,6 +32,7 @@ def _ranges(records: DataFrame) -> DataFrame:
         F.sum("_size").alias("_bytes"),
         F.max("_size").alias("_largest"),
         (F.min("_group") < F.max("_group")).alias("_mixed"),
+        F.first("_of").alias("_of"),
     )
 
 
@@ -62,8 +63,11 @@ def _at(value: Column, cuts: Column, most: int) -> Column:
 
 
 def _dealt(records: DataFrame, target: float) -> tuple[DataFrame, DataFrame]:
-    """Records with the ``_path`` of their range, and the ranges' sizes; paths and records share their order."""
-    records = records.withColumn("_path", F.array().cast("array<int>"))
+    """Records with the ``_path`` of their range, and the ranges' sizes; paths and records share their order.
+
+    Only a range of one whole group is cut by key or row; ``_of`` then holds its path, as it was before.
+    """
+    records = records.withColumns({"_path": F.array().cast("array<int>"), "_of": F.lit(None).cast("array<int>")})
     sizes = materialise(_ranges(records), "ranges")
     for place, column in enumerate(ROUNDS):
         over = sizes.filter((F.col("_bytes") - F.col("_largest") > OVERFULL * target) | (F.col("_rows") > OVERFULL * RANGE_ROWS))
@@ -77,6 +81,8 @@ def _dealt(records: DataFrame, target: float) -> tuple[DataFrame, DataFrame]:
         most = cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0
         value = F.coalesce(F.col(column), F.lit(-(1 << 63)))
         joined = records.join(bounded(cuts), "_path", "left")
+        if column != "_group":
+            joined = joined.withColumn("_of", F.coalesce("_of", F.when(F.col("_cuts").isNotNull(), F.col("_path"))))
         records = joined.withColumn("_path", F.concat("_path", F.array(_at(value, F.col("_cuts"), most)))).drop("_cuts")
         sizes = materialise(_ranges(records), "ranges")
     return records, sizes
@@ -109,9 +115,15 @@ def shard_records(
     before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     starts = sizes.select(
         "_path",
+        "_of",
+        "_bytes",
         F.coalesce(F.sum("_bytes").over(before), F.lit(0)).alias("_before"),
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_ahead"),
     )
+    of = Window.partitionBy("_of")
+    held = F.when(F.col("_of").isNotNull(), F.sum("_bytes").over(of))
+    ends = F.when(F.col("_of").isNotNull(), F.max(F.col("_before") + F.col("_bytes")).over(of))
+    starts = starts.select("_path", "_before", "_ahead", held.alias("_held"), ends.alias("_held_end"))
     order = Window.partitionBy("_path").orderBy(*ORDER)
     same = Window.partitionBy("_path", "_group")
     placed = (
@@ -121,9 +133,11 @@ def shard_records(
         .withColumn("_end", F.max("_upto").over(same))
         .join(bounded(materialise(starts, "starts")), "_path")
     )
-    together = F.col("_whole") <= F.lit(tolerance * total / shards)
+    whole = F.coalesce("_held", "_whole")
+    end = F.coalesce(F.col("_held_end"), F.col("_before") + F.col("_end"))
     # Twice the middle of the record, or of its group, in the order of all bytes.
-    middle = 2 * F.col("_before") + F.when(together, 2 * F.col("_end") - F.col("_whole")).otherwise(2 * F.col("_upto") - F.col("_size"))
+    own = 2 * (F.col("_before") + F.col("_upto")) - F.col("_size")
+    middle = F.when(whole <= F.lit(tolerance * total / shards), 2 * end - whole).otherwise(own)
     shard = F.call_function("div", middle.cast("decimal(25,0)") * shards, F.lit(2 * total).cast("decimal(25,0)"))
     rank = F.col("_ahead") + F.col("_rank") - 1
     placed = placed.select(*columns, shard.cast("int").alias("shard"), rank.alias("_rank"))
