@@ -32,20 +32,36 @@ def pieces(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(FOLD).replace(b"\xff", b" \xff ").split()
 
 
-class WordIds(dict):
-    """Word id within a language: 64 bits, never 0; 0 is the id of the mark. The last words seen are remembered."""
+class WordIds:
+    """Word ids within each language: 64 bits, never 0 but for the mark. Ids of the words last seen are remembered."""
 
-    KEPT = 500_000
+    KEPT = 300_000
 
-    def __init__(self, lang: str):
-        super().__init__()
-        self.seed = xxhash.xxh3_64_intdigest(lang.encode())
+    def __init__(self):
+        self.known: dict[str, dict[bytes, int]] = {}
+        self.size = 0
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.KEPT:
-            self.clear()
-        value = self[word] = 0 if word == b"\xff" else xxhash.xxh3_64_intdigest(word, self.seed) | 1
-        return value
+    @staticmethod
+    def one(word: bytes, seed: int) -> int:
+        return 0 if word == b"\xff" else xxhash.xxh3_64_intdigest(word, seed) | 1
+
+    def of(self, lang: str, words: list[bytes]) -> np.ndarray:
+        if self.size > self.KEPT:
+            self.known.clear()
+            self.size = 0
+        known, seed = self.known.setdefault(lang, {}), xxhash.xxh3_64_intdigest(lang.encode())
+        for word in set(words) - known.keys():
+            known[word] = self.one(word, seed)
+            self.size += 1
+        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+
+
+def small(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[tuple]:
+    """(text, lang) of all rows, a few made at a time, as texts may be long."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield from zip(part.column("text").to_pylist(), part.column("lang").to_pylist())
 
 
 class BitTable:
@@ -56,9 +72,6 @@ class BitTable:
         self.words = np.zeros(1 << (bits - 6), np.uint64)
         self.words[slots] = words
 
-    def __contains__(self, _) -> bool:
-        raise TypeError("ask for many ids at once")
-
     def has(self, ids: np.ndarray) -> np.ndarray:
         place = ids >> np.uint64(64 - self.bits)
         return (self.words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
@@ -110,7 +123,7 @@ class PhraseTrie:
     of the root go out whole, as sorted runs, until half of the budget is free.
     """
 
-    def __init__(self, burst: int = 1 << 16, budget: int = 1 << 22):
+    def __init__(self, burst: int = 1 << 16, budget: int = 1 << 21):
         self.burst, self.budget, self.size = burst, budget, 0
         self.root: dict[int, Container | dict] = {}
 
@@ -178,8 +191,8 @@ def count_words(docs: DataFrame) -> DataFrame:
         def release() -> Iterator[pa.RecordBatch]:
             for lang, counts in held.items():
                 counts.pop(b"\xff", None)
-                ids, words = WordIds(lang), list(counts)
-                key = np.fromiter(map(ids.__missing__, words), np.uint64, len(words)).view(np.int64)
+                words, seed = list(counts), xxhash.xxh3_64_intdigest(lang.encode())
+                key = np.fromiter((WordIds.one(word, seed) for word in words), np.uint64, len(words)).view(np.int64)
                 for at in range(0, len(words), 50_000):
                     part = slice(at, at + 50_000)
                     texts = [word.decode() for word in words[part]]
@@ -188,16 +201,15 @@ def count_words(docs: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(*one) for one in zip(columns, kinds)], names=["lang", "word", "id", "n"])
             held.clear()
 
-        for batch in batches:
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                counts = held.setdefault(lang, {})
-                before = len(counts)
-                for word in pieces(text):
-                    counts[word] = counts.get(word, 0) + 1
-                size += len(counts) - before
-                if size > WORD_ROWS:
-                    yield from release()
-                    size = 0
+        for text, lang in small(batches):
+            counts = held.setdefault(lang, {})
+            before = len(counts)
+            for word in pieces(text):
+                counts[word] = counts.get(word, 0) + 1
+            size += len(counts) - before
+            if size > WORD_ROWS:
+                yield from release()
+                size = 0
         yield from release()
 
     counted = docs.mapInArrow(count, "lang string, word string, id long, n long")
@@ -205,23 +217,22 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def coded(docs: DataFrame, table) -> DataFrame:
-    """The ids of each text's words in order, as one binary; 0 for a word that is not frequent and where a piece ends."""
+    """The ids of each text's words in order, as one binary; 0 for words that are not frequent, ends of pieces and the end."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, WordIds] = {}
-        for batch in batches:
-            rows = []
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
-                if lang not in known and len(known) >= 16:
-                    known.clear()
-                words = pieces(text)
-                ids = np.fromiter(map(known.setdefault(lang, WordIds(lang)).__getitem__, words), np.uint64, len(words))
-                ids[~table.value.has(ids)] = 0
-                inside = ids != 0
-                if (inside[1:] & inside[:-1]).any():
-                    # Neighbouring zeros say no more than one.
-                    rows.append(ids[inside | np.r_[True, inside[:-1]]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
+        known, rows, size = WordIds(), [], 0
+        for text, lang in small(batches):
+            ids = known.of(lang, pieces(text) + [b"\xff"])
+            ids[~table.value.has(ids)] = 0
+            inside = ids != 0
+            if (inside[1:] & inside[:-1]).any():
+                # Neighbouring zeros say no more than one.
+                rows.append(ids[inside | np.r_[True, inside[:-1]]].tobytes())
+                size += len(rows[-1])
+            if size > 1 << 22:
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
+                rows, size = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
 
     return docs.mapInArrow(code, "ids binary")
 
@@ -239,17 +250,15 @@ def longer(codes: DataFrame, size: int, table, least: int, burst: int, budget: i
                 yield pa.RecordBatch.from_arrays(columns, names=["prefix", "last", "n"])
 
         for batch in batches:
-            zero = np.zeros(1, np.uint64)
-            parts = [part for ids in batch.column("ids").to_pylist() for part in (np.frombuffer(ids, np.uint64), zero)]
-            words = np.concatenate(parts) if parts else zero
-            prefix, inside = words, words != 0
-            for length in range(2, size):
-                prefix, inside = phrase_id(prefix[:-1], words[length - 1 :]), inside[:-1] & (words[length - 1 :] != 0)
-            good = np.zeros(len(inside), bool)
-            good[inside] = table.value.has(prefix[inside])
-            at = np.flatnonzero(good[:-1] & good[1:])
-            for run in trie.add(prefix[at], words[at + size - 1]):
-                yield from sent(run)
+            for words in _stretches(batch.column("ids"), size - 1):
+                prefix, inside = words, words != 0
+                for length in range(2, size):
+                    prefix, inside = phrase_id(prefix[:-1], words[length - 1 :]), inside[:-1] & (words[length - 1 :] != 0)
+                good = np.zeros(len(inside), bool)
+                good[inside] = table.value.has(prefix[inside])
+                at = np.flatnonzero(good[:-1] & good[1:])
+                for run in trie.add(prefix[at], words[at + size - 1]):
+                    yield from sent(run)
         for run in trie.close():
             yield from sent(run)
 
@@ -257,6 +266,17 @@ def longer(codes: DataFrame, size: int, table, least: int, burst: int, budget: i
     return merged.mapInArrow(_named, EDGE + ", id long")
 
 
+def _stretches(ids: pa.BinaryArray, overlap: int, length: int = 1 << 18) -> Iterator[np.ndarray]:
+    """The ids of all texts, which end with 0 each, in stretches that share ``overlap`` ids, without copying them."""
+    if not len(ids):
+        return
+    _, offsets, data = ids.buffers()
+    ends = np.frombuffer(offsets, np.int64 if pa.types.is_large_binary(ids.type) else np.int32)[ids.offset : ids.offset + len(ids) + 1]
+    words = np.frombuffer(data, np.uint64, (int(ends[-1]) - int(ends[0])) // 8, int(ends[0])) if ends[-1] > ends[0] else np.empty(0, np.uint64)
+    for at in range(0, len(words), length):
+        yield words[at : at + length + overlap]
+
+
 def phrase_id(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
     """Id of the phrase that adds a word to a prefix."""
     return mixed(prefix * MIX + last)
@@ -275,7 +295,7 @@ def frequent_phrases(
     longest: int = 5,
     least: int = 100,
     burst: int = 1 << 16,
-    budget: int = 1 << 22,
+    budget: int = 1 << 21,
 ) -> tuple[DataFrame, DataFrame]:
     """All phrases of up to ``longest`` words that stand in at least ``least`` places of their language, and word totals.
 
