@@ -50,9 +50,10 @@ class WordIds:
             self.known.clear()
             self.size = 0
         known, seed = self.known.setdefault(lang, {}), xxhash.xxh3_64_intdigest(lang.encode())
-        for word in set(words) - known.keys():
-            known[word] = self.one(word, seed)
-            self.size += 1
+        for word in words:
+            if word not in known:
+                known[word] = self.one(word, seed)
+                self.size += 1
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
