@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quantweave.llm.common import MIX, materialise, mixed, runs
+from quantweave.llm.common import MIX, materialise, mixed, runs, scratch
 
 #: What ends a piece (and, with blanks and tabs, a word). A byte that UTF-8 never uses marks the place.
 PIECE_END, MARK = b".,;:!?\x0a\x0b\x0c\x0d", 0xFF
@@ -263,8 +263,12 @@ def longer(codes: DataFrame, size: int, table, least: int, burst: int, budget: i
         for run in trie.close():
             yield from sent(run)
 
-    merged = codes.mapInArrow(count, EDGE).groupBy("prefix", "last").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return merged.mapInArrow(_named, EDGE + ", id long")
+    # Rows of one prefix lie side by side and so take little room; a prefix is dealt over salts, by ranges of last words.
+    salts = max(4, int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 32)
+    salt = F.shiftright(F.shiftrightunsigned("last", 48) * salts, 16)
+    edges = codes.mapInArrow(count, EDGE).withColumn("salt", salt).repartition("prefix", "salt")
+    merged = edges.groupBy("prefix", "salt", "last").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    return merged.select("prefix", "last", "n").mapInArrow(_named, EDGE + ", id long")
 
 
 def _stretches(ids: pa.BinaryArray, overlap: int, length: int = 1 << 18) -> Iterator[np.ndarray]:
@@ -306,11 +310,15 @@ def frequent_phrases(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
-    words = materialise(count_words(rows), "words")
+    # Words that are not frequent only matter in the totals, so they are written as one row a language.
+    often = lambda name: F.when(F.col("n") >= least, F.col(name)).alias(name)
+    words = materialise(count_words(rows).groupBy("lang", often("word"), often("id")).agg(F.sum("n").alias("n")), "words")
     totals = materialise(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    level = words.filter(F.col("n") >= least)
+    level = words.filter(F.col("id").isNotNull())
     table = spark.sparkContext.broadcast(bit_table(level, "id"))
-    codes = materialise(coded(rows, table), "codes")
+    path = scratch(spark, "codes")
+    coded(rows, table).write.option("compression", "zstd").parquet(path)
+    codes = spark.read.schema("ids binary").parquet(path)
     known = level.select("id", "lang", F.array("word").alias("words"), F.col("n").alias("f"))
     last = level.select(F.col("id").alias("last"), "word")
     found = [known]
