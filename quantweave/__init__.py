@@ -5,7 +5,7 @@ from quantweave.functions.modifications import normalize_modifications, normaliz
 from quantweave.operators.competition import best_per, compete
 from quantweave.operators.components import connected_components
 from quantweave.operators.confidence import assign_confidence, target_decoy_qvalues
-from quantweave.operators.directlfq import quantify_proteins_directlfq, rollup_directlfq
+from quantweave.operators.directlfq import disconnected_traces, grouped_kernel, quantify_proteins_directlfq, rollup_directlfq
 from quantweave.operators.inference import identical_groups, infer_groups
 from quantweave.operators.match import combine_passes
 from quantweave.operators.normalize import NORMALIZERS, quantify_peptides
@@ -48,6 +48,8 @@ __all__ = [
     "quantify",
     "quantify_peptides",
     "quantify_proteins",
+    "disconnected_traces",
+    "grouped_kernel",
     "quantify_proteins_directlfq",
     "read_results",
     "rescore",

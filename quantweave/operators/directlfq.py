@@ -1,17 +1,20 @@
 """Ratio-based intensity estimation per entity (the directLFQ method).
 
-Each feature of an entity is a log2 trace over samples. The fullest traces are merged pairwise, closest first, into a
-reference; every trace is shifted onto the reference by its median difference; the profile is the per-sample median of
-the shifted traces, rescaled to the summed input intensity.
+Each feature of an entity is a log2 trace over samples. Traces that share samples, directly or through others, form a
+part. In each part the fullest traces are merged pairwise, closest first, into a reference; every trace that overlaps
+the reference is shifted onto it by its median difference, and the reference is carried on to the samples that only
+those traces have, until every trace of the part is placed. The profile is the per-sample median of the shifted traces,
+rescaled to the part's summed input intensity. Nothing relates the parts of an entity to each other, so ratios between
+them mean nothing; :func:`disconnected_traces` lists them.
 
 Entities of ordinary size are estimated one grouped-map call each. An entity with more cells than the budget never
-enters one task: only its few seed traces do, and the shifts and medians run as Spark aggregates with the same result.
+enters one task: only its few seed traces do, and parts, shifts and medians run as Spark aggregates with the same result.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quantweave.functions.filters import rollup_rows
+from quantweave.operators.components import connected_components
 from quantweave.operators.medians import grouped_median
 from quantweave.operators.rollup import (
     Axes,
@@ -32,6 +36,7 @@ from quantweave.operators.rollup import (
     rollup_axes,
 )
 from quantweave.roles import Dataset, named
+from quantweave.shared import materialise
 
 # Send the small functions below with the tasks, so that executors need no copy of this package.
 register_pickle_by_value(sys.modules[__name__])
@@ -48,7 +53,10 @@ def median_of(values: np.ndarray, axis: int | None = None) -> np.ndarray:
 
 
 def merge_traces(traces: np.ndarray) -> np.ndarray:
-    """Shift traces onto each other, merging the pair whose difference varies least, and return the median trace."""
+    """Shift traces onto each other, merging the pair whose difference varies least, and return the median trace.
+
+    Traces that end up apart from the first one take no part; they are placed later, through other traces.
+    """
     shifts = np.zeros(len(traces))
     groups = [[row] for row in range(len(traces))]
     merged = [trace.copy() for trace in traces]
@@ -69,7 +77,36 @@ def merge_traces(traces: np.ndarray) -> np.ndarray:
         groups[left] += groups[right]
         merged[left] = median_of(traces[groups[left]] + shifts[groups[left], None], axis=0)
         del groups[right], merged[right]
-    return median_of(traces + shifts[:, None], axis=0)
+    first = groups[0]  # merging keeps the smaller place, so this group holds the first trace
+    return median_of(traces[first] + shifts[first, None], axis=0)
+
+
+def trace_parts(present: np.ndarray) -> np.ndarray:
+    """Number of each row's part: rows that share a column, directly or through other rows, are in one part."""
+    label = np.full(len(present), -1)
+    number = 0
+    while (label < 0).any():
+        rows = np.arange(len(present)) == np.argmax(label < 0)
+        while True:
+            reached = present[:, present[rows].any(axis=0)].any(axis=1)
+            if (reached == rows).all():
+                break
+            rows = reached
+        label[rows] = number
+        number += 1
+    return label
+
+
+def placed_shifts(matrix: np.ndarray, reference: np.ndarray) -> np.ndarray:
+    """Shift of every trace onto the reference, which grows by the samples of the traces placed in each round."""
+    shift = np.full(len(matrix), np.nan)
+    while True:
+        ready = np.isnan(shift) & (np.isfinite(matrix) & np.isfinite(reference)).any(axis=1)
+        if not ready.any():
+            return shift
+        shift[ready] = median_of(reference[None, :] - matrix[ready], axis=1)
+        new = median_of(matrix[ready] + shift[ready, None], axis=0)
+        reference = np.where(np.isfinite(reference), reference, new)
 
 
 def seed_rows(matrix: np.ndarray, limit: int = SEED_TRACES) -> np.ndarray:
@@ -80,12 +117,17 @@ def seed_rows(matrix: np.ndarray, limit: int = SEED_TRACES) -> np.ndarray:
 
 
 def estimate_profile(matrix: np.ndarray) -> np.ndarray:
-    """Linear intensities per sample from a features by samples log2 matrix without empty rows."""
-    reference = merge_traces(matrix[seed_rows(matrix)])
-    shift = median_of(reference[None, :] - matrix, axis=1)
-    profile = median_of(matrix + np.nan_to_num(shift)[:, None], axis=0)
-    linear = np.exp2(profile)
-    return linear * (np.nansum(np.exp2(matrix)) / np.nansum(linear))
+    """Linear intensities per sample from a features by samples log2 matrix without empty rows or columns."""
+    parts = trace_parts(np.isfinite(matrix))
+    intensities = np.full(matrix.shape[1], np.nan)
+    for part in range(parts.max() + 1):
+        rows = matrix[parts == part]
+        columns = np.isfinite(rows).any(axis=0)
+        rows = rows[:, columns]
+        shift = placed_shifts(rows, merge_traces(rows[seed_rows(rows)]))
+        linear = np.exp2(median_of(rows + shift[:, None], axis=0))
+        intensities[columns] = linear * (np.nansum(np.exp2(rows)) / np.nansum(linear))
+    return intensities
 
 
 def trace_matrix(pdf: pd.DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
@@ -119,32 +161,57 @@ def _prepared_cells(rows: Dataset, axes: Axes) -> DataFrame:
     )
 
 
-def _estimate_in_groups(cells: DataFrame, axes: Axes, schema: T.StructType) -> DataFrame:
-    entity, sample = list(axes.entity), axes.sample
-    outputs = [output for _, output in axes.tracks]
+def grouped_kernel(
+    rows: DataFrame, keys: Sequence[str], kernel: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType
+) -> DataFrame:
+    """Run a kernel on the rows of each group of ``keys``; null keys are a group of their own.
+
+    The kernel gets a group's rows as a pandas frame and returns a frame with the columns of ``schema`` that are not
+    keys. A group enters one task whole, so it must fit there.
+    """
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        table = kernel(pdf)
+        return table.assign(**dict(zip(keys, key, strict=True)))[schema.names]
+
+    return rows.groupBy(*[named(key) for key in keys]).applyInPandas(run, schema)
+
 
-    def estimate(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+def profile_kernel(sample: str, outputs: Sequence[str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The built-in kernel: one estimate per sample and track of the cells of one entity."""
+
+    def estimate(pdf: pd.DataFrame) -> pd.DataFrame:
         series = []
         for place, output in enumerate(outputs):
             matrix, samples = trace_matrix(pdf, f"_track{place}")
             values = estimate_profile(matrix) if len(matrix) else np.array([])
             series.append(pd.Series(values, index=samples, name=output))
-        table = pd.concat(series, axis=1, join="outer").rename_axis(sample).reset_index()
-        for name, value in zip(entity, key, strict=True):
-            table[name] = value
-        return table[[*entity, sample, *outputs]]
+        return pd.concat(series, axis=1, join="outer").rename_axis(sample).reset_index()
+
+    return estimate
 
-    return cells.groupBy(*[named(key) for key in entity]).applyInPandas(estimate, schema)
+
+def _traces(cells: DataFrame, entity: Sequence[str], tracks: int) -> DataFrame:
+    """Cells as rows of (entity text, track, feature, sample, log value) with the part that each trace belongs to."""
+    long = cells.withColumn("_entity", entity_text(entity)).unpivot(
+        ["_entity", "_feature", "_sample"], [f"_track{place}" for place in range(tracks)], "_track", "_log"
+    )
+    long = long.filter(F.col("_log").isNotNull())
+    sample = F.col("_sample").cast("string")
+    node = lambda end: F.concat_ws("\u001f", "_entity", "_track", end).alias
+    parts = connected_components(long.select(node(sample)("_at"), node("_feature")("_trace")), "_at", "_trace")
+    tagged = long.withColumn("_trace", F.concat_ws("\u001f", "_entity", "_track", "_feature")).join(parts, on="_trace")
+    return tagged.select("_entity", "_track", F.col("component").alias("_part"), "_feature", "_sample", "_log")
 
 
 def _estimate_in_spark(cells: DataFrame, axes: Axes, schema: T.StructType) -> DataFrame:
-    """The same estimate without gathering an entity; tracks become part of the key."""
+    """The same estimate without gathering an entity; tracks and parts become part of the key."""
     # A surrogate that is never null stands for the entity, as joins leave out null keys.
-    cells = cells.withColumn("_entity", entity_text(axes.entity))
-    names = cells.groupBy("_entity").agg(*[F.first(named(key)).alias(key) for key in axes.entity])
-    entity = ["_entity", "_track"]
+    named_cells = cells.withColumn("_entity", entity_text(axes.entity))
+    names = named_cells.groupBy("_entity").agg(*[F.first(named(key)).alias(key) for key in axes.entity])
+    entity = ["_entity", "_track", "_part"]
     tracks = [f"_track{place}" for place in range(len(axes.tracks))]
-    long = cells.unpivot(["_entity", "_feature", "_sample"], tracks, "_track", "_log").filter(F.col("_log").isNotNull())
+    long = materialise(_traces(cells, axes.entity, len(tracks)), "traces")
     keys = [named(key) for key in entity]
 
     order = Window.partitionBy(*keys).orderBy(F.desc("_samples"), F.desc("_peak"), F.asc("_feature"))
@@ -170,12 +237,7 @@ def _estimate_in_spark(cells: DataFrame, axes: Axes, schema: T.StructType) -> Da
         return table[[*entity, "_sample", "_reference"]]
 
     reference = long.join(seeds, on=[*entity, "_feature"]).groupBy(*keys).applyInPandas(merge, reference_schema)
-    # A feature has at most one value per sample, so its median is small.
-    shifts = (
-        long.join(reference, on=[*entity, "_sample"], how="left")
-        .groupBy(*keys, "_feature")
-        .agg(F.coalesce(F.median(F.col("_reference") - F.col("_log")), F.lit(0.0)).alias("_shift"))
-    )
+    shifts = _placed_in_spark(long, entity, reference.filter(~F.isnan("_reference")))
     shifted = long.join(shifts, on=[*entity, "_feature"]).withColumn("_aligned", F.col("_log") + F.col("_shift"))
     profile = grouped_median(shifted, [*entity, "_sample"], "_aligned", "_profile")
     summed = long.groupBy(*keys).agg(F.sum(F.pow(F.lit(2.0), F.col("_log"))).alias("_input"))
@@ -196,6 +258,28 @@ def _estimate_in_spark(cells: DataFrame, axes: Axes, schema: T.StructType) -> Da
     )
 
 
+def _placed_in_spark(long: DataFrame, keys: list[str], reference: DataFrame) -> DataFrame:
+    """Shift of every trace: those that overlap the reference are placed, then it grows by their samples, and so on.
+
+    A part is connected, so every trace is placed; most parts need one round.
+    """
+    reference = materialise(reference, "reference")
+    waiting, shifts = long, None
+    while not waiting.isEmpty():
+        # A feature has at most one value per sample, so its median is small.
+        new = waiting.join(reference, on=[*keys, "_sample"]).groupBy(*keys, "_feature")
+        new = materialise(new.agg(F.median(F.col("_reference") - F.col("_log")).alias("_shift")), "shifts")
+        shifts = new if shifts is None else shifts.unionByName(new)
+        waiting = materialise(waiting.join(new, on=[*keys, "_feature"], how="left_anti"), "waiting")
+        if waiting.isEmpty():
+            break
+        bare = long.join(new, on=[*keys, "_feature"]).join(reference, on=[*keys, "_sample"], how="left_anti")
+        bare = bare.withColumn("_aligned", F.col("_log") + F.col("_shift"))
+        more = grouped_median(bare, [*keys, "_sample"], "_aligned", "_reference")
+        reference = materialise(reference.unionByName(more), "reference")
+    return shifts if shifts is not None else long.select(*keys, "_feature", F.lit(0.0).alias("_shift"))
+
+
 def entity_text(keys: Sequence[str]) -> Column:
     """Text that differs for different keys and is never null: each value behind its length, null as a dash."""
     parts = [named(key).cast("string") for key in keys]
@@ -214,10 +298,14 @@ def rollup_directlfq(
     predicate: str | Column | None = None,
     keep_unassigned: bool = False,
     cell_budget: int = CELL_BUDGET,
+    kernel: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
 ) -> DataFrame:
     """One estimated intensity per entity, sample and track; entities without a usable value are left out.
 
     Feature keys identify the same measurable feature across samples; repeated measurements of one take the largest.
+    A ``kernel`` takes the built-in estimator's place: it gets an entity's cells (``_feature``, ``_sample`` and the log2
+    intensities ``_track0``, ``_track1`` and so on) and returns the sample column and one column per output track. As
+    nothing is known about it, an entity over the cell budget is an error then.
     """
     rows = rollup_rows(ds, qvalue_threshold=qvalue_threshold, predicate=predicate)
     axes = rollup_axes(
@@ -228,14 +316,21 @@ def rollup_directlfq(
         [T.StructField(key, rows.df.schema[key].dataType) for key in axes.grain]
         + [T.StructField(output, T.DoubleType()) for _, output in axes.tracks]
     )
-    cells = _prepared_cells(rows, axes)
+    cells = materialise(_prepared_cells(rows, axes), "cells")
     keys = list(axes.entity)
     large = cells.groupBy(*[named(key) for key in keys]).agg(F.count("*").alias("_cells"))
     large = large.filter(F.col("_cells") > cell_budget).select(*[named(key).alias(f"_large_{key}") for key in keys])
-    matches = [named(key).eqNullSafe(named(f"_large_{key}")) for key in keys]
-    ordinary = cells.join(large, on=matches, how="left_anti")
-    oversized = cells.join(large, on=matches, how="left_semi")
-    estimated = _estimate_in_groups(ordinary, axes, schema).unionByName(_estimate_in_spark(oversized, axes, schema))
+    large = materialise(large, "large")
+    built_in = profile_kernel(axes.sample, [output for _, output in axes.tracks])
+    if large.isEmpty():
+        estimated = grouped_kernel(cells, keys, kernel or built_in, schema)
+    elif kernel is not None:
+        raise ValueError("an entity has more cells than cell_budget, and only the built-in kernel can be split")
+    else:
+        matches = [named(key).eqNullSafe(named(f"_large_{key}")) for key in keys]
+        ordinary = cells.join(large, on=matches, how="left_anti")
+        oversized = cells.join(large, on=matches, how="left_semi")
+        estimated = grouped_kernel(ordinary, keys, built_in, schema).unionByName(_estimate_in_spark(oversized, axes, schema))
     if not axes.preserved:
         return estimated
     kept = rows.df.groupBy(*[named(key) for key in axes.grain]).agg(*axes.preserved_columns())
@@ -244,6 +339,41 @@ def rollup_directlfq(
     return estimated.join(kept.withColumnsRenamed(marks), on=same, how="left").drop(*marks.values())
 
 
+def disconnected_traces(
+    ds: Dataset,
+    *,
+    entity: Sequence[str],
+    sample: str,
+    feature: Sequence[str],
+    tracks: Tracks = None,
+    qvalue_threshold: float | None = None,
+    predicate: str | Column | None = None,
+    keep_unassigned: bool = False,
+) -> DataFrame:
+    """Traces of entities whose traces fall into several parts, between which the estimate has no ratio.
+
+    Entity keys, ``track`` (output name), ``part`` (from 1, by its smallest feature), ``feature`` (keys joined by the
+    unit separator) and ``samples`` (how many the trace has). No rows if every entity hangs together.
+    """
+    rows = rollup_rows(ds, qvalue_threshold=qvalue_threshold, predicate=predicate)
+    axes = rollup_axes(
+        rows, entity=entity, sample=sample, feature=feature, tracks=tracks, preserved=None, feature_required=True
+    )
+    rows = assigned_only(rows, axes.entity, keep_unassigned)
+    cells = materialise(_prepared_cells(rows, axes), "cells")
+    long = materialise(_traces(cells, axes.entity, len(axes.tracks)), "traces")
+    parts = long.groupBy("_entity", "_track", "_part").agg(F.min("_feature").alias("_least"))
+    numbered = parts.withColumn("part", F.row_number().over(Window.partitionBy("_entity", "_track").orderBy("_least")))
+    several = numbered.groupBy("_entity", "_track").agg(F.max("part").alias("_parts")).filter("_parts > 1")
+    numbered = materialise(numbered.join(several, on=["_entity", "_track"], how="left_semi"), "parts")
+    traces = long.groupBy("_entity", "_track", "_part", F.col("_feature").alias("feature")).agg(F.count("*").alias("samples"))
+    names = cells.withColumn("_entity", entity_text(axes.entity)).groupBy("_entity")
+    names = names.agg(*[F.first(named(key)).alias(key) for key in axes.entity])
+    outputs = F.create_map(*[F.lit(part) for place, (_, output) in enumerate(axes.tracks) for part in (f"_track{place}", output)])
+    found = traces.join(numbered, on=["_entity", "_track", "_part"]).join(names, on="_entity")
+    return found.select(*[named(key) for key in axes.entity], outputs[F.col("_track")].alias("track"), "part", "feature", "samples")
+
+
 def quantify_proteins_directlfq(
     ds: Dataset,
     *,

@@ -2,8 +2,10 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quantweave import Dataset, Roles, quantify_proteins_directlfq, rollup_directlfq
+from quantweave import Dataset, Roles, disconnected_traces, grouped_kernel, quantify_proteins_directlfq, rollup_directlfq
+from quantweave.operators.directlfq import profile_kernel
 
 OPTIONS = {"entity": ["protein_group"], "sample": "sample", "feature": ["peptide", "charge"]}
 
@@ -120,3 +122,65 @@ def test_only_narrow_columns_reach_python(matches):
     plan = rollup_directlfq(matches, **OPTIONS)._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapGroupsInPandas" in plan
     assert "mass" not in plan.split("FlatMapGroupsInPandas")[1].split("LocalRelation")[0].split("LogicalRDD")[0]
+
+
+def chain(protein, samples, width=3, base=1.0):
+    """Short traces over neighbouring samples: most share no sample with the fullest ones."""
+    factors = [2.0 ** (sample * 5 % 7 - 3) for sample in range(samples)]
+    return factors, [
+        (protein, f"s{sample:02d}", f"f{first:02d}.{copy}", base * 3.0**copy * (first + 1) * factors[sample])
+        for first in range(samples - width + 1)
+        for copy in range(2)
+        for sample in range(first, first + width)
+    ]
+
+
+@pytest.mark.parametrize("budget", [10**6, 0])
+def test_the_reference_reaches_traces_far_from_the_seeds(spark, budget):
+    factors, rows = chain("P", 30)
+    full = [("P", f"s{sample:02d}", f"full{place:02d}", 1e6 * factors[sample]) for place in range(12) for sample in range(6)]
+    found = estimate(dataset(spark, rows + full), cell_budget=budget)
+    assert len(found) == 30
+    for sample in range(30):
+        assert found["P", f"s{sample:02d}"] / found["P", "s00"] == pytest.approx(factors[sample] / factors[0])
+    assert sum(found.values()) == pytest.approx(sum(row[3] for row in rows + full))
+
+
+@pytest.mark.parametrize("budget", [10**6, 0])
+def test_parts_keep_their_own_sums_and_are_listed(spark, budget):
+    factors, rows = chain("P", 8)
+    _, other = chain("P", 5, base=1000.0)
+    apart = [(protein, f"t{sample[1:]}", f"g{feature}", area) for protein, sample, feature, area in other]
+    ds = dataset(spark, rows + apart + [("Q", "s00", "f", 2.0)])
+    found = estimate(ds, cell_budget=budget)
+    for prefix, own in (("s", rows), ("t", apart)):
+        sums = [area for (protein, sample), area in found.items() if protein == "P" and sample.startswith(prefix)]
+        assert sum(sums) == pytest.approx(sum(row[3] for row in own))
+    for sample in range(5):
+        assert found["P", f"t{sample:02d}"] / found["P", "t00"] == pytest.approx(factors[sample] / factors[0])
+    listed = disconnected_traces(ds, entity=["protein"], sample="sample", feature=["peptide"]).collect()
+    assert {(row["protein"], row["track"], row["part"], row["feature"], row["samples"]) for row in listed} == {
+        ("P", "area", 1 if feature.startswith("f") else 2, feature, 3) for _, _, feature, _ in rows + apart
+    }
+    assert disconnected_traces(dataset(spark, rows), entity=["protein"], sample="sample", feature=["peptide"]).isEmpty()
+
+
+def test_a_kernel_of_ones_own(spark):
+    """The largest log value of a sample, and the built-in estimator through the same entry."""
+    rows = random_rows(9, proteins=3)
+    largest = lambda pdf: pdf.groupby("_sample", as_index=False)["_track0"].max().rename(columns={"_sample": "sample", "_track0": "area"})
+    found = estimate(dataset(spark, rows), kernel=largest)
+    expected = {}
+    for protein, sample, _, area in rows:
+        expected[protein, sample] = max(area, expected.get((protein, sample), 0.0))
+    assert {key: 2**value for key, value in found.items()} == pytest.approx(expected)
+    assert estimate(dataset(spark, rows), kernel=profile_kernel("sample", ["area"])) == estimate(dataset(spark, rows))
+    with pytest.raises(ValueError, match="cell_budget"):
+        estimate(dataset(spark, rows), kernel=largest, cell_budget=3)
+
+
+def test_grouped_kernel_on_null_keys(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 5)], "k string, v long")
+    total = lambda pdf: pdf[["v"]].sum().to_frame().T.rename(columns={"v": "total"})
+    schema = T.StructType([T.StructField("total", T.LongType()), T.StructField("k", T.StringType())])
+    assert {tuple(row) for row in grouped_kernel(df, ["k"], total, schema).collect()} == {(3, None), (5, "a")}

@@ -16,6 +16,7 @@ from quantweave import (
     combined_report,
     confident,
     connected_components,
+    disconnected_traces,
     identical_groups,
     infer_groups,
     masked_intensity,
@@ -42,9 +43,11 @@ from quantweave.shared import shared_folder
 from quantweave.sources.spectra import spectra_from_table
 from workload.tables import (
     DECOY_PREFIX,
+    PLANTED_SQL,
     PSMS_SQL,
     nation_edges,
     order_edges,
+    planted_traces,
     psms,
     spectra,
     supply_edges,
@@ -339,6 +342,60 @@ def directlfq_totals(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _planted_sql(feature: str) -> str:
+    """Each sample's planted factor, scaled so that the estimates add up to the cells."""
+    def estimates(track: str, value: str, factor: str, kept: str) -> str:
+        return f"""{track}_cells AS (SELECT DISTINCT protein, {feature}, place, pow(2, {value}) AS value, pow(2, {factor}) AS factor FROM planted WHERE {kept}),
+{track}_sums AS (SELECT protein, sum(value) AS total FROM {track}_cells GROUP BY protein),
+{track}_factors AS (SELECT DISTINCT protein, place, factor FROM {track}_cells),
+{track}_scaled AS (SELECT protein, place, factor * total / sum(factor) OVER (PARTITION BY protein) AS value
+  FROM {track}_factors f JOIN {track}_sums s USING (protein))"""
+
+    raw = estimates("raw", "peptide % 9 + place * 5 % 7", "place * 5 % 7", "l_linenumber <> 5")
+    norm = estimates("norm", "peptide % 11 + place * 3 % 8", "place * 3 % 8", "l_linenumber NOT IN (2, 3)")
+    return f"""WITH {PLANTED_SQL.replace("END AS protein", "ELSE '' END AS protein")}, {raw}, {norm}
+SELECT nullif(protein, '') AS protein, 's' || place AS run, true AS target, round(r.value, 4) AS raw, round(n.value, 4) AS norm
+FROM raw_scaled r FULL JOIN norm_scaled n USING (protein, place)"""
+
+
+def _planted(ds: Dataset, **options) -> DataFrame:
+    df = quantify_proteins_directlfq(ds, keep_unassigned=True, **options).df
+    raw, norm = rounded("directlfq_intensity", 4).alias("raw"), rounded("directlfq_norm", 4).alias("norm")
+    return df.select("protein", "run", "target", raw, norm)
+
+
+@query("directlfq_planted", _planted_sql("peptide, charge"))
+def directlfq_planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Planted factors over gaps, two tracks and a null protein come out exactly."""
+    return _planted(planted_traces(spark, folder))
+
+
+@query("directlfq_planted_peptides", _planted_sql("peptide"))
+def directlfq_planted_peptides(spark: SparkSession, folder: str) -> DataFrame:
+    return _planted(planted_traces(spark, folder), rollup_peptides=True)
+
+
+@query("directlfq_planted_in_spark", _planted_sql("peptide, charge"))
+def directlfq_planted_in_spark(spark: SparkSession, folder: str) -> DataFrame:
+    """Every protein over the cell budget."""
+    return _planted(planted_traces(spark, folder), cell_budget=0)
+
+
+@query(
+    "directlfq_parts",
+    f"""WITH {PLANTED_SQL}, traces AS (
+  SELECT protein, half, peptide || chr(31) || charge AS feature, count(DISTINCT place) AS samples
+  FROM planted WHERE l_linenumber <> 5 AND protein IS NOT NULL GROUP BY ALL
+), parts AS (
+  SELECT protein, half, row_number() OVER (PARTITION BY protein ORDER BY min(feature)) AS part FROM traces GROUP BY protein, half
+) SELECT protein, 'raw' AS track, CAST(part AS INTEGER) AS part, feature, samples FROM traces JOIN parts USING (protein, half)""",
+)
+def directlfq_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Peptides of two kinds that share no sample: every protein falls into two parts."""
+    ds = planted_traces(spark, folder, halves=True)
+    return disconnected_traces(ds, entity=["protein"], sample="run", feature=["peptide", "charge"], tracks=["raw"])
+
+
 # Normalisation ------------------------------------------------------------------------------------------------------
 
 

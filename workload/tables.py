@@ -116,3 +116,39 @@ def order_edges(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "orders").select(
         F.col("o_orderkey").cast("string").alias("peptide"), F.concat(F.lit("C"), F.col("o_custkey")).alias("protein")
     )
+
+
+PLANTED_SQL = """
+planted AS (
+  SELECT CASE WHEN l_orderkey // 2 % 5 > 0 THEN 'E' || (l_orderkey // 2 % 5) END AS protein, l_orderkey // 2 AS peptide,
+         2 + l_orderkey % 2 AS charge, l_orderkey // 2 % 2 AS half, (l_orderkey + l_linenumber) % 24 AS place, l_linenumber
+  FROM lineitem
+)"""
+
+
+def planted_traces(spark: SparkSession, folder: str, halves: bool = False) -> Dataset:
+    """Traces with known factors: an order is a precursor, seen in the few neighbouring ones of 24 samples that its lines name.
+
+    An intensity is a power of two for the peptide times one for the sample, so exact estimates are known. Track ``raw``
+    has zeros, track ``norm`` negative values and nulls; a fifth of the peptides have no protein. With ``halves``, odd
+    and even peptides have samples of their own.
+    """
+    line, order = F.col("l_linenumber"), F.col("l_orderkey")
+    peptide = F.floor(order / 2)
+    place = (order + line) % 24 + (F.when(peptide % 2 == 1, 24).otherwise(0) if halves else 0)
+    df = table(spark, folder, "lineitem").select(
+        F.when(peptide % 5 > 0, F.concat(F.lit("E"), peptide % 5)).alias("protein"),
+        peptide.cast("string").alias("peptide"),
+        (2 + order % 2).cast("int").alias("charge"),
+        F.concat(F.lit("s"), place).alias("run"),
+        F.lit(True).alias("target"),
+        F.when(line == 5, 0.0).otherwise(F.pow(F.lit(2.0), peptide % 9 + place * 5 % 7)).alias("raw"),
+        F.when(line == 2, -1.0).when(line != 3, F.pow(F.lit(2.0), peptide % 11 + place * 3 % 8)).alias("norm"),
+    )
+    return Dataset(
+        df,
+        Roles(
+            peptide="peptide", charge="charge", target="target", protein="protein", sample="run",
+            intensity="raw", intensities=("raw", "norm"), semantics={"raw": tags.XIC_AREA},
+        ),
+    )
