@@ -36,7 +36,7 @@ from quantweave import (
 )
 from quantweave.functions.labels import group_label, split_labels
 from quantweave.functions.modifications import KNOWN_MODIFICATIONS, normalize_modifications
-from quantweave.operators.inference import infer_from_edges
+from quantweave.operators.inference import contained_groups, infer_from_edges
 from quantweave.operators.medians import grouped_median
 from quantweave.operators.statistics import run_statistics
 from quantweave.shared import shared_folder
@@ -45,10 +45,12 @@ from workload.tables import (
     DECOY_PREFIX,
     PLANTED_SQL,
     PSMS_SQL,
+    SHARED_SQL,
     nation_edges,
     order_edges,
     planted_traces,
     psms,
+    shared_edges,
     spectra,
     supply_edges,
     table,
@@ -571,6 +573,48 @@ def infer_groups_shared(spark: SparkSession, folder: str) -> DataFrame:
     return _inferred(infer_from_edges(supply_edges(spark, folder)))
 
 
+#: The greedy cover step by step: iteration i holds the edges of the peptides that the first i picks leave uncovered.
+COVER_SQL = f"""WITH RECURSIVE {SHARED_SQL},
+sets AS (SELECT protein, list(peptide ORDER BY peptide) AS peptides FROM (SELECT DISTINCT * FROM edges) GROUP BY protein),
+groups AS (SELECT min(protein) AS g, string_agg(protein, ';' ORDER BY protein) AS members, peptides, len(peptides) AS size FROM sets GROUP BY peptides),
+links AS (SELECT g, size, unnest(peptides) AS peptide FROM groups),
+rec AS (
+  SELECT 0 AS i, g, size, peptide FROM links
+  UNION ALL
+  SELECT i + 1, g, size, peptide FROM rec WHERE peptide NOT IN (SELECT peptide FROM rec WHERE g = (
+    SELECT g FROM (SELECT g, size, count(*) AS gain FROM rec GROUP BY g, size ORDER BY gain DESC, size DESC, g LIMIT 1)))
+),
+picks AS (SELECT g FROM (SELECT i, g, size, count(*) AS gain FROM rec GROUP BY i, g, size)
+  QUALIFY row_number() OVER (PARTITION BY i ORDER BY gain DESC, size DESC, g) = 1),
+shown AS (SELECT *, count(*) OVER (PARTITION BY peptide) AS reported FROM links JOIN picks USING (g)),
+own AS (SELECT g, count(*) FILTER (WHERE reported = 1) AS own FROM shown GROUP BY g),
+chosen AS (SELECT * FROM shown JOIN own USING (g) QUALIFY row_number() OVER (PARTITION BY peptide ORDER BY own DESC, size DESC, g) = 1)
+SELECT peptide, members AS protein_group, all_proteins, reported = 1 AS proteotypic
+FROM chosen JOIN groups USING (g) JOIN (SELECT peptide, string_agg(DISTINCT protein, ';' ORDER BY protein) AS all_proteins FROM edges GROUP BY peptide) USING (peptide)"""
+
+
+@query("infer_groups_cover", COVER_SQL)
+def infer_groups_cover(spark: SparkSession, folder: str) -> DataFrame:
+    """Every peptide in five or six overlapping or nested proteins."""
+    return _inferred(infer_from_edges(shared_edges(spark, folder)))
+
+
+@query(
+    "contained_groups",
+    """WITH e AS (SELECT DISTINCT 'O' || l_orderkey AS "group", l_partkey AS class FROM lineitem),
+s AS (SELECT "group", count(*) AS size FROM e GROUP BY ALL),
+p AS (SELECT a."group", b."group" AS holder, count(*) AS common FROM e a JOIN e b USING (class) WHERE a."group" <> b."group" GROUP BY ALL)
+SELECT DISTINCT p."group" FROM p JOIN s a USING ("group") JOIN s b ON b."group" = p.holder
+WHERE common = a.size AND (b.size > a.size OR b.size = a.size AND p.holder < p."group")""",
+)
+def orders_within_others(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders whose parts all stand in one other order as well."""
+    edges = table(spark, folder, "lineitem").select(F.concat(F.lit("O"), "l_orderkey").alias("group"), F.col("l_partkey").alias("class"))
+    edges = edges.distinct()
+    sizes = edges.groupBy("group").agg(F.count("*").alias("size"))
+    return contained_groups(edges.join(sizes, on="group"))
+
+
 @query(
     "infer_groups_distinct",
     f"""WITH {PSMS_SQL} SELECT DISTINCT peptide, protein AS protein_group, protein AS all_proteins,

@@ -152,3 +152,32 @@ def planted_traces(spark: SparkSession, folder: str, halves: bool = False) -> Da
             intensity="raw", intensities=("raw", "norm"), semantics={"raw": tags.XIC_AREA},
         ),
     )
+
+
+SHARED_SQL = """
+edges AS (
+  SELECT 'C' || c_custkey AS peptide, unnest(['N' || c_nationkey, 'M' || c_mktsegment, 'X' || c_custkey % 13,
+    'S' || c_nationkey || c_mktsegment, 'B' || CAST(floor(c_acctbal / 500) AS INTEGER)]) AS protein FROM customer
+  UNION ALL SELECT 'C' || c_custkey, 'R' || n_regionkey FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 3 > 0
+)"""
+
+
+def shared_edges(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers as peptides; nations, segments, residues, balances and parts of regions as proteins.
+
+    Every peptide is shared by five or six proteins, and the sets of nation and segment lie within those of the nation.
+    """
+    customer = table(spark, folder, "customer")
+    key, nation, segment = F.col("c_custkey"), F.col("c_nationkey"), F.col("c_mktsegment")
+    peptide = F.concat(F.lit("C"), key).alias("peptide")
+    proteins = F.array(
+        F.concat(F.lit("N"), nation),
+        F.concat(F.lit("M"), segment),
+        F.concat(F.lit("X"), key % 13),
+        F.concat(F.lit("S"), nation, segment),
+        F.concat(F.lit("B"), F.floor(F.col("c_acctbal") / 500).cast("int")),
+    )
+    regions = customer.filter(key % 3 > 0).join(table(spark, folder, "nation"), on=nation == F.col("n_nationkey"))
+    return customer.select(peptide, F.explode(proteins).alias("protein")).unionByName(
+        regions.select(peptide, F.concat(F.lit("R"), F.col("n_regionkey")).alias("protein"))
+    )
