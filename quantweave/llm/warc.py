@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quantweave.llm.common import bounded, materialise, scratch
@@ -95,22 +95,23 @@ def store(path: str) -> tuple[pafs.FileSystem, str]:
 
 
 def payload_roles(pages: DataFrame, least: int = 0) -> DataFrame:
-    """``page_id`` and ``refers_to``: of pages with equal payloads, all but the largest refer to the largest.
+    """``page_id``, ``same``, ``size`` and ``refers_to``: of pages with equal payloads, all but the largest refer to the largest.
 
-    Payloads are compared by SHA-256 and length. Payloads under ``least`` bytes, and rows with a null ``page_id``, refer
+    A row stands for a page and a payload (``same`` is its digest), as one ``page_id`` may carry several. Payloads are compared by SHA-256 and length. Payloads under ``least`` bytes, and rows with a null ``page_id``, refer
     to nothing. Only digests are shuffled; equal ones are combined before the shuffle, and a digest that many pages
     share is a join key that adaptive execution splits.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    light = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.unhex(F.sha2(payload, 256)).alias("same"),
-        F.octet_length(payload).alias("size"),
-    ).filter(F.col("page_id").isNotNull() & (F.col("size") >= least))
+    light = pages.select(F.col("page_id").cast("long").alias("page_id"), *_identity(payload)).filter(F.col("page_id").isNotNull() & (F.col("size") >= least))
     light = materialise(light, "payloads")
     most = light.groupBy("same", "size").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("n"))
     repeated = materialise(most.filter("n > 1").drop("n"), "repeated")
-    return light.join(bounded(repeated), ["same", "size"]).filter("refers_to <> page_id").select("page_id", "refers_to").distinct()
+    revisits = light.join(bounded(repeated), ["same", "size"]).filter("refers_to <> page_id")
+    return revisits.select("page_id", "same", "size", "refers_to").distinct()
+
+
+def _identity(payload: Column) -> list[Column]:
+    return [F.unhex(F.sha2(payload, 256)).alias("same"), F.octet_length(payload).alias("size")]
 
 
 def write_bundles(
@@ -123,14 +124,13 @@ def write_bundles(
     ``page_id``, ``frame``, ``offset`` within the decompressed frame, ``size``, ``record_type``) is written as a
     table when all bundles are; a bundle of a task that was lost or run twice is not in it and is never read. A null
     html is an empty payload, a null page_id or url leaves the header out, repeated rows are records of their own
-    (all with the largest page_id are responses). Other columns are left out.
+    (all with the largest page_id are responses), and a page_id with several payloads has a record of its own role for each. Other columns are left out.
     """
     roles = materialise(payload_roles(pages, least), "roles")
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.col("url").cast("string").alias("url"),
-        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
-    ).join(bounded(roles), on="page_id", how="left")
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"), *_identity(payload)
+    ).join(bounded(roles), on=["page_id", "same", "size"], how="left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = store(folder)
