@@ -25,10 +25,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest key. Rows with a null key stay."""
-    groups = jaccard_groups(docs)
-    extra = materialise(groups.filter("doc_id <> component_id").select("doc_id").distinct(), "extra")
-    return docs.join(extra, on="doc_id", how="left_anti").select(*COLUMNS)
+    """Of each group of linked documents, the one with the smallest key; null keys come last.
+
+    A document is a row with its key and text, so of repeated rows one stays, and rows that share a key but not the
+    text are judged apart. Documents without words are linked with nothing.
+    """
+    rows = docs.select(*COLUMNS).withColumn("_row", F.xxhash64("doc_id", "text"))
+    groups = jaccard_groups(rows.select(F.col("_row").alias("doc_id"), "text"))
+    groups = groups.groupBy(F.col("doc_id").alias("_row")).agg(F.first("component_id").alias("group"), F.count("*").alias("times"))
+    keys = rows.groupBy("_row").agg(F.first("doc_id").alias("doc_id"))
+    groups = materialise(groups.join(keys, on="_row"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "_row"))["_row"]
+    kept = materialise(groups.groupBy("group").agg(first.alias("_row")), "kept")
+    extra = materialise(groups.join(kept, on="_row", how="left_anti").select("_row"), "extra")
+    repeated = materialise(groups.join(kept, on="_row", how="left_semi").filter("times > 1").select("_row"), "repeated")
+    rest = rows.join(extra, on="_row", how="left_anti")
+    once = rest.join(repeated, on="_row", how="left_anti")
+    again = rest.join(repeated, on="_row", how="left_semi").dropDuplicates(["_row"])
+    return once.unionByName(again).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
