@@ -194,6 +194,11 @@ def _aligned(rows: DataFrame, seeds, least: float) -> DataFrame:
 
 
 def without_contamination(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
-    """The documents, with all their columns, whose key :func:`find_contamination` does not return."""
-    bad = materialise(find_contamination(docs, benchmark, **settings).select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, on="doc_id", how="left_anti")
+    """The documents, with all their columns, whose text holds no item (see :func:`find_contamination`).
+
+    Every row is judged by its own text (a 64-bit hash of it stands for it), so rows with null or repeated keys are too.
+    """
+    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    found = find_contamination(docs.select(mark.alias("doc_id"), "text"), benchmark, **settings)
+    bad = materialise(found.select(F.col("doc_id").alias("_mark")).distinct(), "contaminated")
+    return docs.withColumn("_mark", mark).join(bad, on="_mark", how="left_anti").drop("_mark")
