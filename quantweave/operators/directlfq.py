@@ -237,7 +237,8 @@ def _estimate_in_spark(cells: DataFrame, axes: Axes, schema: T.StructType) -> Da
         return table[[*entity, "_sample", "_reference"]]
 
     reference = long.join(seeds, on=[*entity, "_feature"]).groupBy(*keys).applyInPandas(merge, reference_schema)
-    shifts = _placed_in_spark(long, entity, reference.filter(~F.isnan("_reference")))
+    # Samples of seeds that stayed apart have no reference yet; pandas hands their NaN over as null.
+    shifts = _placed_in_spark(long, entity, reference.filter(F.col("_reference").isNotNull() & ~F.isnan("_reference")))
     shifted = long.join(shifts, on=[*entity, "_feature"]).withColumn("_aligned", F.col("_log") + F.col("_shift"))
     profile = grouped_median(shifted, [*entity, "_sample"], "_aligned", "_profile")
     summed = long.groupBy(*keys).agg(F.sum(F.pow(F.lit(2.0), F.col("_log"))).alias("_input"))

@@ -146,6 +146,17 @@ def test_the_reference_reaches_traces_far_from_the_seeds(spark, budget):
     assert sum(found.values()) == pytest.approx(sum(row[3] for row in rows + full))
 
 
+@pytest.mark.parametrize("budget", [10**6, 0])
+def test_seeds_that_share_no_sample_are_bridged_by_short_traces(spark, budget):
+    factors = [2.0 ** (sample % 5) for sample in range(12)]
+    blocks = [range(6), range(6, 12)]
+    rows = [("P", f"s{s:02d}", f"full{block}.{n}", 9.0**n * factors[s]) for block in (0, 1) for n in range(5) for s in blocks[block]]
+    rows += [("P", f"s{s:02d}", f"bridge{n}", 2.0**n * factors[s]) for n in range(2) for s in (5, 6)]
+    found = estimate(dataset(spark, rows), cell_budget=budget)
+    for sample in range(12):
+        assert found["P", f"s{sample:02d}"] / found["P", "s00"] == pytest.approx(factors[sample])
+
+
 @pytest.mark.parametrize("budget", [10**6, 0])
 def test_parts_keep_their_own_sums_and_are_listed(spark, budget):
     factors, rows = chain("P", 8)
