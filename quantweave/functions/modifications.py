@@ -1,7 +1,7 @@
 """Rewrite numeric peptide modifications, such as ``C[+57.02]``, to named ones, such as ``C(UniMod:4)``.
 
-The whole rewrite is one native expression: the peptide is cut at ``residue + bracket`` tokens, each token is mapped to
-the nearest known mass, and the pieces are joined again.
+The whole rewrite is one native expression: the peptide is cut at ``residue + bracket`` tokens, each token is looked up
+by its rounded mass, and the pieces are joined again.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from itertools import pairwise
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quantweave.functions.places import place_in
 from quantweave.roles import Dataset, named
 
 # Modification name and mass difference, in order of precedence. One name per mass; a mass
@@ -85,43 +84,71 @@ def _borders(table: list[tuple[str, float]]) -> tuple[list[int], list[float]]:
     return places, borders
 
 
+def _by_whole(table: list[tuple[str, float]]) -> tuple[int, list[list[tuple[float, str | None]]]]:
+    """The least whole mass, and for each whole number from it on the steps of the deltas that round to it.
+
+    A step is the least delta it covers and the name of the nearest mass, or no name if that mass rounds otherwise.
+    """
+    places, borders = _borders(table)
+    wholes = [round(table[place][1]) for place in places]
+    steps = []
+    for whole in range(min(wholes), max(wholes) + 1):
+        nearest = zip(places, wholes, [-math.inf, *borders], [*borders, math.inf], strict=True)
+        steps.append(
+            [
+                (start, table[place][0] if rounded == whole else None)
+                for place, rounded, start, end in nearest
+                if start <= whole + 0.5 and end > whole - 0.5
+            ]
+        )
+    return min(wholes), steps
+
+
 def normalize_modifications(peptide: Column, *, strict: bool = False) -> Column:
     """Rename every numeric modification whose rounded mass agrees with the nearest known one; keep all else.
 
-    Array functions evaluate what they are given each time it is mentioned, so every step stores what the next reads.
+    A delta's whole number points at its few candidates in a list, so no token is compared with the whole table.
+    Array functions evaluate what they are given each time it is mentioned, so every step stores what the next reads;
+    the peptide itself is bound by a one-element array.
     """
-    table = modification_table(strict)
-    places, borders = _borders(table)
-    cuts = F.array(*[F.lit(border) for border in borders])
-    known = F.array(
-        *[
-            F.struct(F.lit(table[place][0]).alias("name"), F.lit(float(round(table[place][1]))).alias("whole"))
-            for place in places
-        ]
-    )
+    least, steps = _by_whole(modification_table(strict))
+    depth = max(map(len, steps))
+
+    def listed(found: list[tuple[float, str | None]]) -> Column:
+        padded = [*found, *[(None, None)] * (depth - len(found))]
+        starts = [F.lit(start).cast("double").alias(f"from{at}") for at, (start, _) in enumerate(padded)]
+        return F.struct(*starts, *[F.lit(name).cast("string").alias(f"name{at}") for at, (_, name) in enumerate(padded)])
+
+    candidates = F.array(*[listed(found) for found in steps])
 
     def parsed(token: Column) -> Column:
         number = F.substring(token, F.lit(3), F.length(token) - 3).try_cast("double")
         return F.struct(token.alias("token"), F.when(token.rlike(NUMERIC_TOKEN), number).alias("delta"))
 
     def matched(item: Column) -> Column:
-        nearest = F.when(item["delta"].isNotNull(), F.get(known, place_in(item["delta"], cuts, len(borders))))
-        return F.struct(item["token"].alias("token"), F.rint(item["delta"]).alias("whole"), nearest.alias("nearest"))
+        known = item["delta"].between(least - 0.5, least + len(steps) - 0.5)
+        place = F.when(known, F.rint(item["delta"]).cast("int") - least)
+        # The greatest bound rounds to the even side, which may be one past the list: get gives null there.
+        held = F.when(place >= 0, F.get(candidates, place))
+        return F.struct(item["token"].alias("token"), item["delta"].alias("delta"), held.alias("held"))
 
     def joined(text: Column, item: Column) -> Column:
-        residue = F.substring(item["token"], 1, 1)
-        name = (
-            F.when(item["whole"] == item["nearest"]["whole"], item["nearest"]["name"])
-            .when((item["whole"] == 57) & (residue == "C"), F.lit("UniMod:4"))
-            .when((item["whole"] == 16) & (residue == "M"), F.lit("UniMod:35"))
+        delta, held, residue = item["delta"], item["held"], F.substring(item["token"], 1, 1)
+        name = held["name0"]
+        for at in range(1, depth):
+            name = F.when(delta >= held[f"from{at}"], held[f"name{at}"]).otherwise(name)
+        usual = F.when((F.rint(delta) == 57) & (residue == "C"), F.lit("UniMod:4")).when(
+            (F.rint(delta) == 16) & (residue == "M"), F.lit("UniMod:35")
         )
-        renamed = F.concat(residue, F.lit("("), name, F.lit(")"))
-        return F.concat(text, F.coalesce(F.when(item["whole"].isNotNull(), renamed), item["token"], F.lit("")))
+        renamed = F.concat(residue, F.lit("("), F.coalesce(name, usual), F.lit(")"))
+        return F.concat(text, F.coalesce(F.when(delta.isNotNull(), renamed), item["token"], F.lit("")))
+
+    def rewritten(text: Column) -> Column:
+        tokens = F.regexp_extract_all(text, F.lit(f"({TOKEN})"), F.lit(1))
+        matches = F.transform(F.transform(tokens, parsed), matched)
+        return F.array_join(F.zip_with(F.split(text, TOKEN, -1), matches, joined), "")
 
-    tokens = F.regexp_extract_all(peptide, F.lit(f"({TOKEN})"), F.lit(1))
-    matches = F.transform(F.transform(tokens, parsed), matched)
-    pieces = F.zip_with(F.split(peptide, TOKEN, -1), matches, joined)
-    return F.when(peptide.rlike(TOKEN), F.array_join(pieces, "")).otherwise(peptide)
+    return F.get(F.transform(F.array(peptide), rewritten), F.lit(0))
 
 
 def normalize_peptides(

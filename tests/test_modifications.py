@@ -1,3 +1,6 @@
+import itertools
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +54,27 @@ def test_every_delta_takes_the_nearest_mass(spark):
         assert text == (f"A({name})" if round(delta) == round(mass) else f"A[{delta}]")
 
 
+@pytest.mark.parametrize("strict", [False, True])
+def test_deltas_at_borders_and_ends(spark, strict):
+    table = modification_table(strict)
+    deltas = {mass for _, mass in table} | {0.0, -0.5, 57.5, 1e300, -1e300, 2147483648.0}
+    for (_, low), (_, high) in itertools.pairwise(sorted(table, key=lambda entry: entry[1])):
+        deltas |= {(low + high) / 2, math.nextafter((low + high) / 2, math.inf), math.nextafter((low + high) / 2, -math.inf)}
+    for whole in range(-52, 162):
+        deltas |= {whole + 0.5, math.nextafter(whole + 0.5, math.inf), math.nextafter(whole + 0.5, -math.inf)}
+    found = rewritten(spark, [f"A[{delta!r}]" for delta in deltas], strict=strict)
+    for delta, text in zip(deltas, found, strict=True):
+        name, mass = min(table, key=lambda entry: abs(delta - entry[1]))
+        assert text == (f"A({name})" if round(delta) == round(mass) else f"A[{delta!r}]")
+
+
+def test_nested_brackets_and_long_peptides(spark):
+    texts = ["A[B[16]C]", "AM[16]" * 5000, "M[16](M)M[]M()", "M[16\u00e9]K[\u00e9]", "M[16]\x01M[16]"]
+    assert rewritten(spark, texts) == [
+        "A[B[16]C]", "AM(UniMod:35)" * 5000, "M(UniMod:35)(M)M[]M()", "M[16\u00e9]K[\u00e9]", "M(UniMod:35)\x01M(UniMod:35)",
+    ]
+
+
 @pytest.mark.parametrize("distinct", [False, True])
 def test_peptide_column(spark, distinct):
     df = spark.createDataFrame([("C[57.02]", 1), ("C[57.02]", 2), ("K", 3), (None, 4)], "peptide string, n int")
