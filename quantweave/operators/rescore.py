@@ -135,7 +135,8 @@ def rescore(
     """Add a score learnt from the features, first in the score list; training runs as Spark jobs.
 
     The features default to the numeric score columns. A fold whose model accepts fewer training targets than the best
-    single feature is scored by that feature, and one where nothing is accepted by the first feature.
+    single feature is scored by that feature. If nothing is accepted for a fold, or no better than its middle decoy, all
+    folds are scored by the feature that accepts most over all folds (the first one, if none accepts any).
     """
     ds.roles.require("target")
     features = list(features or numeric_features(ds))
@@ -214,7 +215,11 @@ def _train(
             for held, (model, found) in advanced.items()
             if found.accepted != current[held][1].accepted
         }
-    return _calibrated(rows, best)
+    totals: dict[tuple[str, bool], int] = {}
+    for (_, name, higher), found in single.items():
+        totals[name, higher] = totals.get((name, higher), 0) + found.accepted
+    name, higher = max(totals, key=lambda option: (totals[option], option), default=(features[0], True))
+    return _calibrated(rows, best, FoldModel({name: 1.0 if higher else -1.0}))
 
 
 def _fit(
@@ -236,8 +241,13 @@ def _fit(
     return FoldModel(dict(zip(features, slopes, strict=True)), float(fitted.intercept)) if any(slopes) else None
 
 
-def _calibrated(rows: DataFrame, best: Mapping[int, tuple[FoldModel, Acceptance | None]]) -> dict[int, FoldModel]:
-    """Scores of different folds made comparable: zero at the acceptance score, minus one at the decoys' median."""
+def _calibrated(
+    rows: DataFrame, best: Mapping[int, tuple[FoldModel, Acceptance | None]], common: FoldModel
+) -> dict[int, FoldModel]:
+    """Scores of different folds made comparable: zero at the acceptance score, minus one at the decoys' median.
+
+    Where a fold has no such two points, its scores would be on another scale than the rest, so all folds take ``common``.
+    """
     middles = rows.filter(~F.col("_target")).agg(
         *[
             F.percentile_approx(F.when(F.col("_fold") != held, model.score()), 0.5).alias(str(held))
@@ -247,8 +257,10 @@ def _calibrated(rows: DataFrame, best: Mapping[int, tuple[FoldModel, Acceptance
     models = {}
     for held, (model, found) in best.items():
         middle = middles[str(held)]
-        usable = found is not None and middle is not None and found.threshold > middle
-        models[held] = model.rescaled(found.threshold, found.threshold - middle) if usable else model
+        if found is None or middle is None or found.threshold <= middle:
+            log.warning("fold %d has no scale of its own: all folds are scored by %s", held, common)
+            return dict.fromkeys(best, common)
+        models[held] = model.rescaled(found.threshold, found.threshold - middle)
         log.info("fold %d: %s", held, models[held])
     return models
 

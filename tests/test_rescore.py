@@ -77,3 +77,17 @@ def test_nothing_to_learn(spark):
         rescore(ds.evolve(scores=()))
     with pytest.raises(ValueError):
         rescore(ds, folds=1)
+
+
+def test_folds_share_a_scale_when_one_cannot_be_fitted(spark):
+    ids = Dataset(spark.range(6000), Roles(spectrum=("id",)))
+    fold = {row["id"]: row["fold"] for row in ids.df.select("id", fold_of(ids, 2, 1).alias("fold")).collect()}
+    rng = random.Random(3)
+    rows = []
+    for place in range(6000):
+        target = place % 2 == 0
+        shift = 6.0 if target and fold[place] == 0 else 0.0
+        rows.append((place, target, rng.gauss(0, 1), rng.gauss(shift, 1)))
+    df = spark.createDataFrame(rows, "id long, target boolean, a double, b double")
+    scored = rescore(Dataset(df, Roles(spectrum=("id",), scores=("a", "b"))), folds=2, train_fdr=0.01, max_iter=2).df
+    assert scored.filter(F.col("rescore") != F.col("b")).isEmpty()

@@ -876,6 +876,87 @@ def workflow_mbr(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "combined_qvalue_unmatched",
+    f"""WITH {PSMS_SQL}, {best_sql("psm", name="second")}, {rates_sql("second", "run_rates")},
+{best_sql("precursor", name="first")}, {rates_sql("first", "library_rates")},
+library AS (
+  SELECT peptide, charge, protein, library_rates.qvalue AS lib FROM first JOIN library_rates USING (score) WHERE qvalue <= 0.05
+)
+SELECT l_orderkey, l_linenumber, library.protein AS protein_group, lib AS library_qvalue,
+       CASE WHEN lib IS NULL THEN run_rates.qvalue ELSE greatest(run_rates.qvalue, lib) END AS kept_qvalue,
+       CASE WHEN lib IS NOT NULL THEN greatest(run_rates.qvalue, lib) END AS strict_qvalue
+FROM second JOIN run_rates USING (score) LEFT JOIN library USING (peptide, charge)""",
+)
+def combined_qvalue_unmatched(spark: SparkSession, folder: str) -> DataFrame:
+    """A library of accepted precursors lacks the others: their own q-value, or none where a match is required."""
+    second = confidence_at(spark, folder, "psm")
+    first = confident(confidence_at(spark, folder, "precursor"), threshold=0.05, include_decoys=True)
+    kept = combine_passes(second, first)
+    strict = combine_passes(kept.evolve(qvalue=second.roles.qvalue), first, require_library_match=True)
+    both = strict.evolve(strict.df.withColumnRenamed("combined-qvalue", "strict_qvalue"), qvalue=second.roles.qvalue)
+    return combine_passes(both, first).df.select(
+        *SPECTRUM,
+        "protein_group",
+        F.col("`library-qvalue`").alias("library_qvalue"),
+        F.col("`combined-qvalue`").alias("kept_qvalue"),
+        "strict_qvalue",
+    )
+
+
+@query(
+    "workflow_mbr_proteins",
+    f"""WITH {PSMS_SQL}, {best_sql("precursor", name="first")}, {rates_sql("first", "library_rates")},
+library AS (SELECT first.*, qvalue FROM first JOIN library_rates USING (score) WHERE qvalue <= 0.05),
+searched AS (SELECT * FROM psms WHERE peptide IN (SELECT peptide FROM library)),
+{best_sql("psm", source="searched", name="second")}, {rates_sql("second", "run_rates")},
+matched AS (
+  SELECT second.run, second.intensity, library.protein,
+         CASE WHEN library.qvalue IS NULL THEN run_rates.qvalue ELSE greatest(run_rates.qvalue, library.qvalue) END AS qvalue
+  FROM second JOIN run_rates USING (score) LEFT JOIN library USING (peptide, charge)
+), quantities AS (
+  SELECT protein, run, round(sum(intensity), 2) AS intensity FROM matched
+  WHERE qvalue <= 0.05 AND protein IS NOT NULL GROUP BY ALL
+), {PROTEINS_SQL.format(source="library")}, {rates_sql("proteins", "ranked")}
+SELECT protein AS protein_group, score, target, ranked.qvalue AS qvalue, run, intensity
+FROM proteins JOIN ranked USING (score) LEFT JOIN quantities USING (protein)""",
+)
+def workflow_mbr_proteins(spark: SparkSession, folder: str) -> DataFrame:
+    """The protein table of two passes, the second over the peptides of the library; some precursors stay unmatched."""
+    held = spectra(spark, folder)
+
+    def first_pass(spark: SparkSession, **stages) -> Dataset:
+        return confident(run("v0", spark, **stages), threshold=0.05, include_decoys=True)
+
+    def second_search(spark: SparkSession, library: DataFrame) -> Dataset:
+        rows = psms(spark, folder)
+        known = library.select(F.col("ModifiedPeptide").alias("peptide")).distinct()
+        return rows.evolve(rows.df.join(known, on="peptide", how="left_semi"))
+
+    _, proteins = run(
+        "mbr",
+        spark,
+        library={
+            "workflow": first_pass,
+            "search": lambda spark: psms(spark, folder),
+            "rescoring": False,
+            "output": {
+                "backend": "write_library",
+                "spectra": spectra_from_table(held.df, held.roles),
+                "threshold": 0.05,
+                "include_decoys": True,
+            },
+        },
+        search=second_search,
+        rescoring=False,
+        peptide_quant={"sample_column": "run", "intensity_column": "intensity"},
+        protein_rollup={"qvalue_threshold": 0.05},
+    )
+    return proteins.df.select(
+        "protein_group", "score", "target", "qvalue", "run", rounded("intensity", 2).alias("intensity")
+    )
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     """Best match per precursor, q-values, one percent filter, and protein quantity per run."""
     accepted = confident(confidence_at(spark, folder, "precursor"), threshold=0.01)
