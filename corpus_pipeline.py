@@ -14,6 +14,7 @@ from quantweave.llm.common import materialise, scratch, table
 from quantweave.llm.contamination import without_contamination
 from quantweave.llm.jaccard import jaccard_groups
 from quantweave.llm.quality import select_documents
+from quantweave.shared import intermediate_tables, write_rows
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -76,10 +77,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written as Parquet and read by the next."""
+    """All stages over ``documents``, each written as Parquet and read by the next.
+
+    A stage's intermediate tables are deleted when its output is written.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with intermediate_tables(spark):
+            write_rows(stage(spark, docs, sf_dir), path)
         docs = spark.read.parquet(path)
     return docs

@@ -128,10 +128,14 @@ def in_range(hashes: np.ndarray, parts: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
+def word_count(docs: DataFrame, text: str = "text") -> int:
+    """Number of words, estimated at six bytes each."""
+    return -(-int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // 6)
+
+
 def part_count(docs: DataFrame, text: str = "text", words_per_part: int = 1_500_000) -> int:
     """Number of hash ranges so that one holds about ``words_per_part`` words, however large the corpus."""
-    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(2, -(-int(size) // (6 * words_per_part)))
+    return max(2, -(-word_count(docs, text) // words_per_part))
 
 
 POSTINGS = "part int, docs binary, counts binary, hashes binary"
@@ -230,5 +234,6 @@ __all__ = [
     "table",
     "texts",
     "unpacked",
+    "word_count",
     "word_hashes",
 ]

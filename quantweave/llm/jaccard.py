@@ -11,11 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantweave.llm.common import bounded, materialise, ngram_hashes, part_count, postings, runs, texts, unpacked, word_hashes
+from quantweave.llm.common import bounded, materialise, ngram_hashes, part_count, postings, runs, texts, unpacked, word_count, word_hashes
 from quantweave.operators.components import connected_components
 
-#: Slots of the frequency table that every task gets, and the document frequencies at which its levels rise.
-SLOTS = 1 << 22
+#: Least and most slots (bytes) of the frequency table that every task gets, slots for each word of the corpus between
+#: these, and the document frequencies at which its levels rise.
+SLOTS = (1 << 20, 1 << 25)
+SLOTS_PER_WORD = 2
 LEVELS = (2, 8, 32, 128, 512, 4096, 65536)
 #: Most rounds that compare each node with one partner before all pairs that are left are compared, and the share of
 #: its pairs that a round must link to be followed by another.
@@ -53,13 +55,18 @@ def _reader(size: int):
     return lambda body: shingles(word_hashes(body, fold=True), size)
 
 
-def _slot(grams: np.ndarray) -> np.ndarray:
-    return (grams & np.uint64(SLOTS - 1)).astype(np.int64)
+def table_slots(words: int) -> int:
+    """Slots for a corpus of so many words: a power of two, at most 32 MB."""
+    return min(SLOTS[1], max(SLOTS[0], 1 << (SLOTS_PER_WORD * words).bit_length()))
+
+
+def _slot(grams: np.ndarray, slots: int) -> np.ndarray:
+    return (grams & np.uint64(slots - 1)).astype(np.int64)
 
 
 def ranked(grams: np.ndarray, levels: np.ndarray) -> np.ndarray:
     """N-grams in the global order: by the level of their document frequency, rare first, then by hash."""
-    return grams[np.lexsort((grams, levels[_slot(grams)]))]
+    return grams[np.lexsort((grams, levels[_slot(grams, len(levels))]))]
 
 
 def required(size: int, percent: int) -> int:
@@ -83,8 +90,8 @@ def sets(docs: DataFrame, size: int = 5) -> DataFrame:
     return materialise(texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, map array<long>"), "sets")
 
 
-def frequency_levels(docs: DataFrame, size: int, parts: int) -> np.ndarray:
-    """Level of the document frequency of every n-gram of the corpus, in a table of fixed size (a slot keeps the most).
+def frequency_levels(docs: DataFrame, size: int, parts: int, slots: int) -> np.ndarray:
+    """Level of the document frequency of every n-gram of the corpus, in a table of ``slots`` (a slot keeps the most).
 
     Counts are exact up to copies that different tasks read. Only the n-grams that recur leave their hash range, as
     (slot, level); a slot shared with a frequent n-gram moves a rare one back in the order, which costs time and
@@ -111,7 +118,7 @@ def frequency_levels(docs: DataFrame, size: int, parts: int) -> np.ndarray:
         starts, ends = runs(value)
         level = np.searchsorted(LEVELS, ends - starts, "right")
         again = level > 0
-        slot, level = _slot(value[starts][again]), level[again]
+        slot, level = _slot(value[starts][again], slots), level[again]
         order = np.lexsort((-level, slot))
         first, _ = runs(slot[order])
         return pa.table({"slot": pa.array(slot[order][first], pa.int32()), "level": pa.array(level[order][first], pa.int8())})
@@ -119,7 +126,7 @@ def frequency_levels(docs: DataFrame, size: int, parts: int) -> np.ndarray:
     packed = postings(texts(docs), hashes, parts)
     rows = packed.groupBy("part").applyInArrow(count, "slot int, level byte").groupBy("slot").agg(F.max("level").alias("level"))
     found = rows.toArrow()
-    levels = np.zeros(SLOTS, np.uint8)
+    levels = np.zeros(slots, np.uint8)
     levels[found.column("slot").to_numpy()] = found.column("level").to_numpy()
     return levels
 
@@ -146,7 +153,7 @@ def shared_prefixes(docs: DataFrame, levels, size: int, percent: int, parts: int
             seen.add(node)
             prefix = ranked(grams, levels.value)[: len(grams) - required(len(grams), percent) + 1]
             last = prefix[-1:]
-            end = (int(levels.value[_slot(last)][0]) << 59) | int(last[0]) >> 5
+            end = (int(levels.value[_slot(last, len(levels.value))][0]) << 59) | int(last[0]) >> 5
             return (node, len(grams), end), prefix
 
         return of
@@ -182,7 +189,7 @@ def fragment_rows(docs: DataFrame, chosen: DataFrame, levels, size: int, fragmen
                 grams = read(body.as_py())
                 if _identity(grams) != node:
                     continue
-                high = (levels.value[_slot(grams)] > 2) * half
+                high = (levels.value[_slot(grams, len(levels.value))] > 2) * half
                 number = high + ((grams >> np.uint64(40)) * np.uint64(half) >> np.uint64(24)).astype(np.int64)
                 for one in np.unique(number):
                     nodes.append(node)
@@ -233,7 +240,7 @@ def jaccard_groups(
     nodes = materialise(real.groupBy("node").agg(*kept), "nodes")
     parts = parts or part_count(docs)
     own = docs.filter(F.col("doc_id").isNotNull())
-    levels = spark.sparkContext.broadcast(frequency_levels(own, size, parts))
+    levels = spark.sparkContext.broadcast(frequency_levels(own, size, parts, table_slots(word_count(own))))
     prefixes = shared_prefixes(own, levels, size, percent, parts)
     fits = F.greatest("na", "nb") * percent <= F.least("na", "nb") * 100
 

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 pytest.importorskip("quantweave.llm")
+from quantweave.llm import jaccard  # noqa: E402
 from quantweave.llm.common import word_hashes  # noqa: E402
 from quantweave.llm.jaccard import _map, jaccard_groups  # noqa: E402
 
@@ -67,3 +68,22 @@ def test_family_of_edited_copies(spark):
     rows = jaccard_groups(spark.createDataFrame(texts, "doc_id long, text string"), parts=3).collect()
     assert {row["doc_id"]: row["component_id"] for row in rows} == {doc: top(doc) for doc in sets}
     assert len({top(doc) for doc in sets}) > 1
+
+
+def test_unique_ngrams_stay_rare_as_the_corpus_grows(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SLOTS", (16, 1 << 25))
+    draw = random.Random(6)
+    passages = [" ".join(f"p{n}x{place}" for place in range(12)) for n in range(100)]
+    for count in (60, 600):
+        texts = [" ".join(f"w{draw.randrange(10**9)}" for _ in range(60)) + " " + passages[draw.randrange(count // 6)] for _ in range(count)]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        slots = jaccard.table_slots(sum(len(text.split()) for text in texts))
+        levels = jaccard.frequency_levels(docs, 5, 3, slots)
+        seen = {}
+        for text in texts:
+            for gram in jaccard.shingles(word_hashes(text.encode(), fold=True), 5).tolist():
+                seen[gram] = seen.get(gram, 0) + 1
+        once = np.array([gram for gram, times in seen.items() if times == 1], np.uint64)
+        often = np.array([gram for gram, times in seen.items() if times > 1], np.uint64)
+        assert len(often) and (levels[jaccard._slot(often, slots)] > 0).all()
+        assert (levels[jaccard._slot(once, slots)] > 0).mean() < 0.05
