@@ -11,14 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantweave.llm.common import bounded, materialise, ngram_hashes, part_count, postings, runs, texts, unpacked, word_count, word_hashes
+from quantweave.llm.common import POSTINGS, bounded, in_range, materialise, mixed, ngram_hashes, part_count, postings, runs, texts, unpacked, word_hashes
 from quantweave.operators.components import connected_components
 
-#: Least and most slots (bytes) of the frequency table that every task gets, slots for each word of the corpus between
-#: these, and the document frequencies at which its levels rise.
-SLOTS = (1 << 20, 1 << 25)
-SLOTS_PER_WORD = 2
-LEVELS = (2, 8, 32, 128, 512, 4096, 65536)
+#: Document frequencies above this count as this one in the global order, and the frequency from which an n-gram lies in
+#: the frequent half of the fragments.
+MOST = (1 << 16) - 1
+OFTEN = 32
 #: Most rounds that compare each node with one partner before all pairs that are left are compared, and the share of
 #: its pairs that a round must link to be followed by another.
 STAR_ROUNDS = 4
@@ -55,22 +54,8 @@ def _reader(size: int):
     return lambda body: shingles(word_hashes(body, fold=True), size)
 
 
-def table_slots(words: int) -> int:
-    """Slots for a corpus of so many words: a power of two, at most 32 MB."""
-    return min(SLOTS[1], max(SLOTS[0], 1 << (SLOTS_PER_WORD * words).bit_length()))
-
-
-def _slot(grams: np.ndarray, slots: int) -> np.ndarray:
-    return (grams & np.uint64(slots - 1)).astype(np.int64)
-
-
-def ranked(grams: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """N-grams in the global order: by the level of their document frequency, rare first, then by hash."""
-    return grams[np.lexsort((grams, levels[_slot(grams, len(levels))]))]
-
-
-def required(size: int, percent: int) -> int:
-    """Least overlap that a set of this size needs with any partner."""
+def required(size, percent: int):
+    """Least overlap that a set of this size (or of each of these sizes) needs with any partner."""
     return -(-percent * size // 100)
 
 
@@ -90,12 +75,36 @@ def sets(docs: DataFrame, size: int = 5) -> DataFrame:
     return materialise(texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, map array<long>"), "sets")
 
 
-def frequency_levels(docs: DataFrame, size: int, parts: int, slots: int) -> np.ndarray:
-    """Level of the document frequency of every n-gram of the corpus, in a table of ``slots`` (a slot keeps the most).
+def packed(part: np.ndarray, name: np.ndarray, values: np.ndarray, more: dict[str, np.ndarray]) -> dict[str, pa.Array]:
+    """One row for each ``part``, laid out as in ``postings``, with further columns along the values.
 
-    Counts are exact up to copies that different tasks read. Only the n-grams that recur leave their hash range, as
-    (slot, level); a slot shared with a frequent n-gram moves a rare one back in the order, which costs time and
-    nothing else, as any order that all documents share gives the same links.
+    Values of one part and name have to be neighbours.
+    """
+    order = np.argsort(part, kind="stable")
+    part, name, values = part[order], name[order], values[order]
+    starts, ends = runs(part)
+    change = np.r_[True, (name[1:] != name[:-1]).any(axis=1) | (part[1:] != part[:-1])] if len(part) else np.empty(0, bool)
+    first = np.flatnonzero(change)
+    counts = np.diff(np.r_[first, len(part)]).astype(np.uint32)
+    low, high = np.searchsorted(first, starts), np.searchsorted(first, ends)
+
+    def cut(rows: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> pa.Array:
+        return pa.array([rows[x:y].tobytes() for x, y in zip(lows, highs)], pa.binary())
+
+    columns = {
+        "part": pa.array(part[starts], pa.int32()),
+        "docs": cut(name[first], low, high),
+        "counts": cut(counts, low, high),
+        "hashes": cut(values, starts, ends),
+    }
+    return columns | {key: cut(one[order], starts, ends) for key, one in more.items()}
+
+
+def recurring_grams(docs: DataFrame, size: int, parts: int) -> DataFrame:
+    """The n-grams that several distinct sets hold, with the exact number of these sets, dealt by set.
+
+    Every n-gram of the corpus goes to its hash range once for each set that a task sees, and is counted there over
+    distinct sets. Those that recur leave, packed, for the part that their set belongs to; ``often`` holds the counts.
     """
 
     def hashes():
@@ -105,106 +114,95 @@ def frequency_levels(docs: DataFrame, size: int, parts: int, slots: int) -> np.n
             grams = read(body)
             node = _identity(grams)
             if node in seen:
-                return (node,), EMPTY
+                return (node, 0), EMPTY
             if len(seen) > 1_000_000:
                 seen.clear()
             seen.add(node)
-            return (node,), grams
+            return (node, len(grams)), grams
 
         return of
 
     def count(group: pa.Table) -> pa.Table:
-        value, _ = unpacked(group)
+        value, name = unpacked(group, 2)
+        # The same set can come from several tasks.
+        new = np.r_[True, (value[1:] != value[:-1]) | (name[1:, 0] != name[:-1, 0])]
+        value, name = value[new], name[new]
         starts, ends = runs(value)
-        level = np.searchsorted(LEVELS, ends - starts, "right")
-        again = level > 0
-        slot, level = _slot(value[starts][again], slots), level[again]
-        order = np.lexsort((-level, slot))
-        first, _ = runs(slot[order])
-        return pa.table({"slot": pa.array(slot[order][first], pa.int32()), "level": pa.array(level[order][first], pa.int8())})
-
-    packed = postings(texts(docs), hashes, parts)
-    rows = packed.groupBy("part").applyInArrow(count, "slot int, level byte").groupBy("slot").agg(F.max("level").alias("level"))
-    found = rows.toArrow()
-    levels = np.zeros(slots, np.uint8)
-    levels[found.column("slot").to_numpy()] = found.column("level").to_numpy()
-    return levels
-
-
-def shared_prefixes(docs: DataFrame, levels, size: int, percent: int, parts: int) -> DataFrame:
-    """``gram``, ``node``, ``n``, ``end``, ``most``: n-grams that are in the prefixes of several sets.
+        often = np.repeat(ends - starts, ends - starts)
+        value, name, often = value[often > 1], name[often > 1], often[often > 1]
+        order = np.argsort(name[:, 0], kind="stable")
+        value, name, often = value[order], name[order], np.minimum(often[order], MOST).astype(np.uint16)
+        part = in_range(mixed(np.ascontiguousarray(name[:, 0]).view(np.uint64)), parts)
+        return pa.table(packed(part, name, value, {"often": often}))
 
-    Two sets with the needed overlap share an n-gram among the first n - required(n) + 1 of each in the global order.
-    ``end`` is the place of the prefix's last n-gram in that order, ``most`` the number of all n-grams but for those of
-    the prefix that no other prefix holds. Of two sets, that whose prefix ends first shares ``most`` at most: what it
-    shares of its prefix lies in the other's prefix too.
-    """
+    found = postings(texts(docs), hashes, parts).groupBy("part").applyInArrow(count, f"{POSTINGS}, often binary")
+    return materialise(found, "recurring")
 
-    def hashes():
-        read, seen = _reader(size), set()
 
-        def of(doc: int, body: bytes):
-            grams = read(body)
-            node = _identity(grams)
-            if node in seen or not len(grams):
-                return (node, 0, 0), EMPTY
-            if len(seen) > 1_000_000:
-                seen.clear()
-            seen.add(node)
-            prefix = ranked(grams, levels.value)[: len(grams) - required(len(grams), percent) + 1]
-            last = prefix[-1:]
-            end = (int(levels.value[_slot(last, len(levels.value))][0]) << 59) | int(last[0]) >> 5
-            return (node, len(grams), end), prefix
+def ordered_sets(recurring: DataFrame, percent: int, fragments: int, parts: int) -> DataFrame:
+    """Prefixes and fragments of the sets, in the global order: by number of sets that hold an n-gram, then by hash.
 
-        return of
+    An n-gram of one set alone comes before all others and meets nothing, so only the number of those in a set counts:
+    its prefix of n - required(n) + 1 goes on with the first recurring ones. Rows of two kinds: packed postings of
+    these by hash range, with names (node, n, end), and (``node``, ``fragment``, ``grams``) of each set that has any,
+    one row for a frequency class (rare, frequent) and hash range. ``end`` is the place of the prefix's last n-gram.
+    """
+    half = max(1, fragments // 2)
+
+    def order(group: pa.Table) -> pa.Table:
+        names, counts, values, often = (b"".join(group.column(one).to_pylist()) for one in ("docs", "counts", "hashes", "often"))
+        name = np.repeat(np.frombuffer(names, np.int64).reshape(-1, 2), np.frombuffer(counts, np.uint32), axis=0)
+        value, often = np.frombuffer(values, np.uint64), np.frombuffer(often, np.uint16)
+        place = np.lexsort((value, often, name[:, 0]))
+        name, value, often = name[place], value[place], often[place]
+        starts, ends = runs(name[:, 0])
+        size = ends - starts
+        n = name[starts, 1]
+        # Recurring n-grams in the prefix: its length less the n-grams that no other set holds.
+        inside = size + 1 - required(n, percent)
+        meets = np.repeat(inside > 0, size)
+        prefix = np.arange(len(value)) - np.repeat(starts, size) < np.repeat(inside, size)
+        last = np.repeat(np.where(inside > 0, starts + inside - 1, starts), size)
+        end = (often[last].astype(np.int64) << 47) | (value[last] >> np.uint64(17)).astype(np.int64)
+        named = np.c_[name, end][prefix]
+        rows = packed(in_range(value[prefix], parts), named, value[prefix], {})
+
+        value, often, node = value[meets], often[meets], name[meets, 0]
+        number = (often >= OFTEN) * half + ((value >> np.uint64(40)) * np.uint64(half) >> np.uint64(24)).astype(np.int64)
+        place = np.lexsort((number, node))
+        value, number, node = value[place], number[place], node[place]
+        first = np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (number[1:] != number[:-1])]) if len(node) else np.empty(0, np.int64)
+        grams = pa.ListArray.from_arrays(pa.array(np.r_[first, len(node)], pa.int32()), pa.array(value.view(np.int64)))
+        before, after = len(rows["part"]), len(first)
+        kept = {key: pa.concat_arrays([one, pa.nulls(after, one.type)]) for key, one in rows.items()}
+        pieces = {"node": pa.array(node[first], pa.int64()), "fragment": pa.array(number[first], pa.int32()), "grams": grams}
+        return pa.table(kept | {key: pa.concat_arrays([pa.nulls(before, one.type), one]) for key, one in pieces.items()})
+
+    found = recurring.groupBy("part").applyInArrow(order, f"{POSTINGS}, node long, fragment int, grams array<long>")
+    return materialise(found, "ordered")
+
+
+def shared_prefixes(ordered: DataFrame, percent: int) -> DataFrame:
+    """``gram``, ``node``, ``n``, ``end``, ``most``: n-grams that are in the prefixes of several sets.
+
+    Two sets with the needed overlap share an n-gram among the first n - required(n) + 1 of each in the global order.
+    ``most`` is the number of all n-grams but for those of the prefix that no other prefix holds. Of two sets, that
+    whose prefix ends first shares ``most`` at most: what it shares of its prefix lies in the other's prefix too.
+    """
 
     def shared(group: pa.Table) -> pa.Table:
         value, name = unpacked(group, 3)
-        # The same set can come from several tasks.
-        new = np.r_[True, (value[1:] != value[:-1]) | (name[1:, 0] != name[:-1, 0])]
-        value, name = value[new], name[new]
         starts, ends = runs(value)
         keep = np.repeat(ends - starts > 1, ends - starts)
         node, n, end = (pa.array(name[keep, place], pa.int64()) for place in range(3))
         return pa.table({"gram": value[keep].view(np.int64), "node": node, "n": n, "end": end})
 
-    packed = postings(texts(docs), hashes, parts)
-    rows = materialise(packed.groupBy("part").applyInArrow(shared, "gram long, node long, n long, end long"), "shared")
+    packed_rows = ordered.filter("part is not null").select("part", "docs", "counts", "hashes")
+    rows = materialise(packed_rows.groupBy("part").applyInArrow(shared, "gram long, node long, n long, end long"), "shared")
     held = materialise(rows.groupBy("node").agg((F.count("*") + F.ceil(F.first("n") * percent / 100) - 1).alias("most")), "held")
     return materialise(rows.join(held, on="node"), "prefixes")
 
 
-def fragment_rows(docs: DataFrame, chosen: DataFrame, levels, size: int, fragments: int) -> DataFrame:
-    """``node``, ``fragment`` and ``grams`` for the documents in ``chosen`` (``doc_id``, ``node``).
-
-    The order is cut into ``fragments`` ranges: one for each pair of a level class (rare, frequent) and a hash range.
-    """
-    half = max(1, fragments // 2)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = _reader(size)
-        for batch in batches:
-            nodes, numbers, held = [], [], []
-            for body, node in zip(batch.column("body"), batch.column("node").to_pylist()):
-                grams = read(body.as_py())
-                if _identity(grams) != node:
-                    continue
-                high = (levels.value[_slot(grams, len(levels.value))] > 2) * half
-                number = high + ((grams >> np.uint64(40)) * np.uint64(half) >> np.uint64(24)).astype(np.int64)
-                for one in np.unique(number):
-                    nodes.append(node)
-                    numbers.append(one)
-                    held.append(grams[number == one].view(np.int64))
-            offsets = pa.array(np.r_[0, np.cumsum([len(one) for one in held])] if held else [0], pa.int32())
-            values = pa.array(np.concatenate(held) if held else np.empty(0, np.int64))
-            arrays = [pa.array(nodes, pa.int64()), pa.array(numbers, pa.int32()), pa.ListArray.from_arrays(offsets, values)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["node", "fragment", "grams"])
-
-    rows = texts(docs).join(bounded(chosen), on="doc_id").select("body", "node")
-    found = rows.mapInArrow(run, "node long, fragment int, grams array<long>")
-    return materialise(found.dropDuplicates(["node", "fragment"]), "fragments")
-
-
 def linked(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     """The pairs (``a``, ``b``, ``na``, ``nb``) whose overlaps, counted per fragment and summed, reach the similarity."""
     left = fragments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("ga"))
@@ -233,20 +231,19 @@ def jaccard_groups(
     compared that share a prefix n-gram, are still in different groups (pairs within a group cannot change it) and that
     no bound rules out: what both prefixes leave, and the bits in which maps of both sets differ. No link is lost.
     """
-    spark = docs.sparkSession
     rows = sets(docs, size)
     real = rows.filter("doc_id is not null and node is not null")
     kept = (F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("map").alias("map"))
     nodes = materialise(real.groupBy("node").agg(*kept), "nodes")
     parts = parts or part_count(docs)
     own = docs.filter(F.col("doc_id").isNotNull())
-    levels = spark.sparkContext.broadcast(frequency_levels(own, size, parts, table_slots(word_count(own))))
-    prefixes = shared_prefixes(own, levels, size, percent, parts)
+    ordered = ordered_sets(recurring_grams(own, size, parts), percent, fragments, parts)
+    prefixes = shared_prefixes(ordered, percent)
     fits = F.greatest("na", "nb") * percent <= F.least("na", "nb") * 100
 
     meeting = materialise(prefixes.select("node").distinct(), "meeting")
-    chosen = materialise(nodes.join(bounded(meeting), on="node", how="left_semi").select("doc_id", "node"), "chosen")
-    pieces = fragment_rows(own, chosen, levels, size, fragments)
+    pieces = ordered.filter("part is null").select("node", "fragment", "grams")
+    pieces = materialise(pieces.join(bounded(meeting), on="node", how="left_semi"), "fragments")
 
     def compared(pairs: DataFrame) -> DataFrame:
         return materialise(linked(pairs, pieces, percent).select("a", "b"), "links")

@@ -1,6 +1,7 @@
 """Word hashes, the bound by set maps, and families of edited copies, against plain Python."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -70,20 +71,32 @@ def test_family_of_edited_copies(spark):
     assert len({top(doc) for doc in sets}) > 1
 
 
-def test_unique_ngrams_stay_rare_as_the_corpus_grows(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "SLOTS", (16, 1 << 25))
+def test_prefixes_follow_exact_frequencies(spark):
+    """Prefixes and fragments against counts of the whole corpus, with copies spread over tasks, at two sizes."""
     draw = random.Random(6)
     passages = [" ".join(f"p{n}x{place}" for place in range(12)) for n in range(100)]
     for count in (60, 600):
-        texts = [" ".join(f"w{draw.randrange(10**9)}" for _ in range(60)) + " " + passages[draw.randrange(count // 6)] for _ in range(count)]
-        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-        slots = jaccard.table_slots(sum(len(text.split()) for text in texts))
-        levels = jaccard.frequency_levels(docs, 5, 3, slots)
-        seen = {}
-        for text in texts:
-            for gram in jaccard.shingles(word_hashes(text.encode(), fold=True), 5).tolist():
-                seen[gram] = seen.get(gram, 0) + 1
-        once = np.array([gram for gram, times in seen.items() if times == 1], np.uint64)
-        often = np.array([gram for gram, times in seen.items() if times > 1], np.uint64)
-        assert len(often) and (levels[jaccard._slot(often, slots)] > 0).all()
-        assert (levels[jaccard._slot(once, slots)] > 0).mean() < 0.05
+        texts = [" ".join(f"w{draw.randrange(10**9)}" for _ in range(draw.randrange(4, 60))) for _ in range(count)]
+        texts = [f"{text} {passages[draw.randrange(count // 6)]}" for text in texts] * 2 + ["a b c", "", passages[0]]
+        texts += [f"{text} more{at % 3}" for at, text in enumerate(texts[: count // 2])]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5, "doc_id")
+        sets = {frozenset(jaccard.shingles(word_hashes(text.encode(), fold=True), 5).tolist()) for text in texts} - {frozenset()}
+        often = Counter(gram for one in sets for gram in one)
+        want, held = set(), {}
+        for one in sets:
+            node = jaccard._identity(np.array(sorted(one), np.uint64))
+            order = sorted(one, key=lambda gram: (often[gram], gram))
+            prefix = [gram for gram in order[: len(one) - jaccard.required(len(one), 80) + 1] if often[gram] > 1]
+            want |= {(np.uint64(gram).view(np.int64).item(), node, len(one)) for gram in prefix}
+            if prefix:
+                held[node] = {np.uint64(gram).view(np.int64).item() for gram in one if often[gram] > 1}
+        ordered = jaccard.ordered_sets(jaccard.recurring_grams(docs, 5, 3), 80, 8, 3)
+        times = Counter(gram for gram, _, _ in want)
+        rows = jaccard.shared_prefixes(ordered, 80).collect()
+        assert {(row["gram"], row["node"], row["n"]) for row in rows} == {one for one in want if times[one[0]] > 1}
+        assert len(rows) == len({(row["gram"], row["node"]) for row in rows}) > 0
+        found = {}
+        for row in ordered.filter("part is null").collect():
+            assert not found.setdefault(row["node"], set()) & set(row["grams"])
+            found[row["node"]] |= set(row["grams"])
+        assert found == held
