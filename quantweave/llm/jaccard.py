@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantweave.llm.common import POSTINGS, bounded, in_range, materialise, mixed, ngram_hashes, part_count, postings, runs, texts, unpacked, word_hashes
+from quantweave.llm.common import POSTINGS, bounded, in_range, materialise, mixed, ngram_hashes, packed, part_count, postings, runs, texts, unpacked, word_hashes
 from quantweave.operators.components import connected_components
 
 #: Document frequencies above this count as this one in the global order, and the frequency from which an n-gram lies in
@@ -75,31 +75,6 @@ def sets(docs: DataFrame, size: int = 5) -> DataFrame:
     return materialise(texts(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, map array<long>"), "sets")
 
 
-def packed(part: np.ndarray, name: np.ndarray, values: np.ndarray, more: dict[str, np.ndarray]) -> dict[str, pa.Array]:
-    """One row for each ``part``, laid out as in ``postings``, with further columns along the values.
-
-    Values of one part and name have to be neighbours.
-    """
-    order = np.argsort(part, kind="stable")
-    part, name, values = part[order], name[order], values[order]
-    starts, ends = runs(part)
-    change = np.r_[True, (name[1:] != name[:-1]).any(axis=1) | (part[1:] != part[:-1])] if len(part) else np.empty(0, bool)
-    first = np.flatnonzero(change)
-    counts = np.diff(np.r_[first, len(part)]).astype(np.uint32)
-    low, high = np.searchsorted(first, starts), np.searchsorted(first, ends)
-
-    def cut(rows: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> pa.Array:
-        return pa.array([rows[x:y].tobytes() for x, y in zip(lows, highs)], pa.binary())
-
-    columns = {
-        "part": pa.array(part[starts], pa.int32()),
-        "docs": cut(name[first], low, high),
-        "counts": cut(counts, low, high),
-        "hashes": cut(values, starts, ends),
-    }
-    return columns | {key: cut(one[order], starts, ends) for key, one in more.items()}
-
-
 def recurring_grams(docs: DataFrame, size: int, parts: int) -> DataFrame:
     """The n-grams that several distinct sets hold, with the exact number of these sets, dealt by set.
 

@@ -11,17 +11,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quantweave.llm.common import bounded, materialise, ngram_hashes, part_count, postings, runs, texts, unpacked, word_hashes
+from quantweave.llm.common import POSTINGS, bounded, in_range, materialise, mixed, ngram_hashes, packed, part_count, postings, runs, texts, unpacked, word_hashes
 
-RECURRING = "owner long, doc_id long, windows binary"
+#: Kinds of packed rows that leave a hash range.
+WINDOWS, ROUTES = 0, 1
 KEPT = "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string"
 
 
-def recurring_windows(docs: DataFrame, width: int = 13, parts: int | None = None) -> DataFrame:
+def with_first(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``body``, ``same`` (a hash of the body) and ``first``, the smallest key with this text if rows share it.
+
+    A text that a smaller document holds too repeats it whole, so only the first of equal texts has to be searched.
+    """
+    rows = texts(docs).withColumn("same", F.unhex(F.md5("body")))
+    classes = rows.filter("doc_id is not null").groupBy("same").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    copied = materialise(classes.filter("first <> last").drop("last"), "copied")
+    return rows.join(bounded(copied), on="same", how="left")
+
+
+def first_texts(rows: DataFrame) -> DataFrame:
+    """``doc_id`` and ``body`` of the rows of ``with_first`` that no smaller document repeats whole."""
+    return rows.filter("doc_id is not null and (first is null or first = doc_id)").select("doc_id", "body")
+
+
+def _dealt(keys: np.ndarray, parts: int) -> np.ndarray:
+    return in_range(mixed(np.ascontiguousarray(keys).view(np.uint64)), parts)
+
+
+def recurring_windows(rows: DataFrame, width: int, parts: int) -> DataFrame:
     """Windows of ``width`` words that start in several documents; the smallest of these owns the window.
 
-    Rows of two kinds: (owner, doc_id) for each document that holds a window of the owner, and (owner, windows) with
-    the hashes of the owner's windows in one hash range. A document is a row of ``docs`` with a non-null key.
+    ``rows`` are distinct texts with their keys. Packed rows of two kinds leave a hash range: the windows of each owner,
+    dealt by owner, and the distinct owners of each other document's windows, dealt by document. There they are merged
+    (``owned_windows``, ``routes_of``), so that however many ranges a pair meets in, one row of it is left.
     """
 
     def hashes():
@@ -37,34 +59,57 @@ def recurring_windows(docs: DataFrame, width: int = 13, parts: int | None = None
         size = ends - starts
         owner = np.repeat(doc[starts], size)
         held = np.repeat(starts - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-        pairs = np.unique(np.c_[owner, doc[held]], axis=0)
+        pairs = np.unique(np.c_[doc[held], owner], axis=0)
         pairs = pairs[pairs[:, 0] != pairs[:, 1]]
         order = np.argsort(doc[starts], kind="stable")
-        first, last = runs(doc[starts][order])
-        window = value[starts][order]
-        owners = doc[starts][order][first]
-        blobs = [window[a:b].tobytes() for a, b in zip(first, last)]
-        return pa.table(
-            {
-                "owner": pa.array(np.r_[pairs[:, 0], owners], pa.int64()),
-                "doc_id": pa.array([*pairs[:, 1].tolist(), *[None] * len(owners)], pa.int64()),
-                "windows": pa.array([*[None] * len(pairs), *blobs], pa.binary()),
-            }
-        )
-
-    rows = texts(docs)
-    packed = postings(rows, hashes, parts or part_count(docs))
-    return materialise(packed.groupBy("part").applyInArrow(confirm, RECURRING), "recurring")
-
-
-def confirmed_passages(docs: DataFrame, recurring: DataFrame, width: int = 13) -> DataFrame:
+        owner, window = doc[starts][order], value[starts][order]
+        both = [
+            packed(_dealt(owner, parts), owner[:, None], window, {}) | {"kind": WINDOWS},
+            packed(_dealt(pairs[:, 0], parts), pairs[:, :1], pairs[:, 1].view(np.uint64), {}) | {"kind": ROUTES},
+        ]
+        for one in both:
+            one["kind"] = pa.array([one["kind"]] * len(one["part"]), pa.int8())
+        return pa.concat_tables([pa.table(one) for one in both])
+
+    found = postings(rows, hashes, parts).groupBy("part").applyInArrow(confirm, f"{POSTINGS}, kind byte")
+    return materialise(found, "recurring")
+
+
+def owned_windows(recurring: DataFrame) -> DataFrame:
+    """``doc_id`` of each owner and ``windows``, the hashes of the windows that it owns."""
+
+    def gather(group: pa.Table) -> pa.Table:
+        names, counts, values = (b"".join(group.column(one).to_pylist()) for one in ("docs", "counts", "hashes"))
+        owner = np.repeat(np.frombuffer(names, np.int64), np.frombuffer(counts, np.uint32))
+        order = np.argsort(owner, kind="stable")
+        owner, value = owner[order], np.frombuffer(values, np.uint64)[order]
+        starts, ends = runs(owner)
+        return pa.table({"doc_id": owner[starts], "windows": pa.array([value[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary())})
+
+    rows = recurring.filter(F.col("kind") == WINDOWS).drop("kind")
+    return materialise(rows.groupBy("part").applyInArrow(gather, "doc_id long, windows binary"), "marks")
+
+
+def routes_of(recurring: DataFrame) -> DataFrame:
+    """``doc_id`` and ``owner``, once for each owner of a window of another document."""
+
+    def merge(group: pa.Table) -> pa.Table:
+        owner, doc = unpacked(group)
+        new = np.r_[True, (owner[1:] != owner[:-1]) | (doc[1:, 0] != doc[:-1, 0])]
+        return pa.table({"doc_id": doc[new, 0], "owner": owner[new].view(np.int64)})
+
+    rows = recurring.filter(F.col("kind") == ROUTES).drop("kind")
+    return rows.groupBy("part").applyInArrow(merge, "doc_id long, owner long")
+
+
+def confirmed_passages(rows: DataFrame, recurring: DataFrame, width: int = 13) -> DataFrame:
     """Passages of the owners: ``owner`` and ``passage`` (words joined by a space), maximal runs of windows they own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owners, found = [], []
-            for owner, body, blobs in zip(*(batch.column(name).to_pylist() for name in ("doc_id", "body", "windows"))):
-                own = np.unique(np.concatenate([np.frombuffer(blob, np.uint64) for blob in blobs]))
+            for owner, body, blob in zip(*(batch.column(name).to_pylist() for name in ("doc_id", "body", "windows"))):
+                own = np.unique(np.frombuffer(blob, np.uint64))
                 text = body.split()
                 value, first = np.unique(ngram_hashes(word_hashes(body), width), return_index=True)
                 place = np.sort(first[np.isin(value, own, assume_unique=True)])
@@ -74,9 +119,8 @@ def confirmed_passages(docs: DataFrame, recurring: DataFrame, width: int = 13) -
                     found.append(b" ".join(text[start:end]))
             yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(found, pa.binary())], names=["owner", "passage"])
 
-    marks = recurring.filter("windows is not null").groupBy("owner").agg(F.collect_list("windows").alias("windows"))
-    marks = materialise(marks.withColumnRenamed("owner", "doc_id"), "marks")
-    owners = texts(docs).join(bounded(marks.select("doc_id")), on="doc_id", how="left_semi")
+    marks = owned_windows(recurring)
+    owners = rows.join(bounded(marks.select("doc_id")), on="doc_id", how="left_semi")
     rows = owners.join(marks, on="doc_id").select("doc_id", "body", "windows")
     return materialise(rows.mapInArrow(run, "owner long, passage binary").distinct(), "passages")
 
@@ -170,7 +214,7 @@ class Matcher:
         return found
 
 
-def occurrences(docs: DataFrame, recurring: DataFrame, passages: DataFrame, width: int, shard_bytes: int, shard_docs: int) -> DataFrame:
+def occurrences(rows: DataFrame, recurring: DataFrame, passages: DataFrame, width: int, shard_bytes: int, shard_docs: int) -> DataFrame:
     """``doc_id``, ``same`` (a hash of the body) and ``spans`` (word ranges to remove) of every document with repeats.
 
     Passages are dealt into shards of about ``shard_bytes`` by their owner; a document is streamed through the
@@ -180,12 +224,12 @@ def occurrences(docs: DataFrame, recurring: DataFrame, passages: DataFrame, widt
     total = passages.agg(F.sum(F.octet_length("passage"))).first()[0] or 0
     shards = max(2, -(-int(total) // shard_bytes))
     shard = F.pmod(F.xxhash64("owner"), F.lit(shards)).cast("int").alias("shard")
-    routes = materialise(recurring.filter("doc_id is not null").select("doc_id", shard).distinct(), "routes")
+    routes = materialise(routes_of(recurring).select("doc_id", shard).distinct(), "routes")
     salts = routes.groupBy("shard").agg(F.ceil(F.count("*") / shard_docs).cast("int").alias("salts"))
     salts = bounded(materialise(salts, "salts"))
     salted = routes.join(salts, on="shard").select("doc_id", "shard", F.pmod(F.xxhash64("doc_id", F.lit(7)), "salts").cast("int").alias("salt"))
     salted = bounded(materialise(salted, "salted"))
-    sent = texts(docs).join(salted, on="doc_id").select("shard", "salt", "doc_id", "body")
+    sent = rows.join(salted, on="doc_id").select("shard", "salt", "doc_id", "body")
     built = passages.withColumn("shard", shard).join(salts, on="shard")
     built = built.select("shard", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "owner", "passage")
 
@@ -224,21 +268,25 @@ def remove_repeats(docs: DataFrame, width: int = 13, shard_bytes: int = 4 << 20,
     key take no part and are returned whole; rows with equal keys are one document, of which each text is judged by
     itself against smaller keys. Other columns are left out.
     """
-    recurring = recurring_windows(docs, width, parts)
-    passages = confirmed_passages(docs, recurring, width)
-    spans = occurrences(docs, recurring, passages, width, shard_bytes, shard_docs)
-    rows = texts(docs).withColumn("same", F.unhex(F.md5("body")))
-    rows = rows.join(bounded(spans, sized="spans"), on=["doc_id", "same"], how="left").select("doc_id", "body", "spans")
+    rows = with_first(docs)
+    first = first_texts(rows)
+    recurring = recurring_windows(first, width, parts or part_count(docs))
+    passages = confirmed_passages(first, recurring, width)
+    spans = occurrences(first, recurring, passages, width, shard_bytes, shard_docs)
+    rows = rows.join(bounded(spans, sized="spans"), on=["doc_id", "same"], how="left")
+    rows = rows.select("doc_id", "body", "spans", F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False)).alias("copy"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, len(batch), 512):
                 part = batch.slice(begin, 512)
                 counts, removed, kept, digests = [], [], [], []
-                for body, blob in zip(part.column("body"), part.column("spans").to_pylist()):
-                    words = body.as_py().split()
+                for body, blob, copy in zip(*(part.column(name) for name in ("body", "spans", "copy"))):
+                    words, blob = body.as_py().split(), blob.as_py()
                     counts.append(len(words))
-                    if blob:
+                    if copy.as_py() and len(words) >= width:
+                        words = []
+                    elif blob:
                         place, left = 0, []
                         for start, end in _merged(np.frombuffer(blob, np.int32).reshape(-1, 2).tolist()):
                             left += words[place:start]
