@@ -7,6 +7,7 @@ import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -148,7 +149,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, key: str = "do
                 lengths, chunks = [0], []
                 for body in part.column("body"):
                     found = split.findall(body.as_py().decode("utf-8", "replace"))
-                    ids = [one for token in found for one in memo[token]]
+                    ids = list(chain.from_iterable(map(memo.__getitem__, found)))
                     chunks.append(np.array(ids, np.int32))
                     lengths.append(lengths[-1] + len(ids))
                 ids = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(chunks)))
@@ -166,8 +167,11 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for batch in batches:
             for start in range(0, len(batch), 512):
                 part = batch.slice(start, 512)
-                decoded = [b"".join(map(token, ids.as_py() or ())) for ids in part.column("ids")]
-                columns = [part.column("doc_id"), part.column("ids"), pa.array(decoded, pa.binary())]
+                ids = part.column("ids")
+                values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+                lows, highs = offsets[:-1], np.where(ids.is_valid().to_numpy(zero_copy_only=False), offsets[1:], offsets[:-1])
+                decoded = [b"".join(map(token, values[low:high].tolist())) for low, high in zip(lows, highs)]
+                columns = [part.column("doc_id"), ids, pa.array(decoded, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
