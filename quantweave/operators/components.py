@@ -11,13 +11,16 @@ from quantweave.shared import materialise
 def connected_components(edges: DataFrame, left: str = "peptide", right: str = "protein") -> DataFrame:
     """Label each right-hand node with the smallest right-hand node it is connected to.
 
-    Alternates between the sides: every left node takes the smallest label among its neighbours, every right node the
-    smallest among its left nodes; after each round labels are short-cut through the label of their label, so long
-    chains need few rounds. The tables of a round are written to the shared folder, which also lets Spark see their size and
-    split a node or label that holds much of the data. Returns ``right`` and ``component``.
+    Each left node becomes a star around its smallest right-hand node. The distinct spokes, far fewer than the edges
+    where left nodes share many of them, then carry the labels: every hub takes the smallest label among its spokes, every
+    right node the smallest among its hubs; after each round labels are short-cut through the label of their label, so
+    long chains need few rounds. The tables of a round are written to the shared folder, which also lets Spark see their
+    size and split a node or label that holds much of the data. Returns ``right`` and ``component``.
     """
-    links = materialise(edges.select(F.col(left).alias("_l"), F.col(right).alias("_r")).dropna().distinct(), "links")
-    labels = materialise(links.groupBy("_r").agg(F.min("_r").alias("_c")), "labels")
+    edges = materialise(edges.select(F.col(left).alias("_l"), F.col(right).alias("_r")).dropna(), "edges")
+    hubs = materialise(edges.groupBy("_l").agg(F.min("_r").alias("_hub")), "hubs")
+    links = materialise(edges.join(hubs, on="_l").select(F.col("_hub").alias("_l"), "_r").distinct(), "links")
+    labels = materialise(links.groupBy("_r").agg(F.min("_l").alias("_c")), "labels")
     while True:
         near = materialise(links.join(labels, on="_r").groupBy("_l").agg(F.min("_c").alias("_c")), "near")
         spread = links.join(near, on="_l").groupBy("_r").agg(F.min("_c").alias("_c"))

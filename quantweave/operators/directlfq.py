@@ -191,17 +191,43 @@ def profile_kernel(sample: str, outputs: Sequence[str]) -> Callable[[pd.DataFram
     return estimate
 
 
-def _traces(cells: DataFrame, entity: Sequence[str], tracks: int) -> DataFrame:
-    """Cells as rows of (entity text, track, feature, sample, log value) with the part that each trace belongs to."""
-    long = cells.withColumn("_entity", entity_text(entity)).unpivot(
-        ["_entity", "_feature", "_sample"], [f"_track{place}" for place in range(tracks)], "_track", "_log"
+def _traces(cells: DataFrame, entity: Sequence[str], tracks: int) -> tuple[DataFrame, DataFrame]:
+    """One row per trace (``_part``, ``_feature``, ``_cells``), and the samples of the parts.
+
+    A part belongs to one entity and track. ``_cells`` holds the numbers of a trace's samples with its log values; the
+    second table says for each part and number (``_at``) which entity, track and sample it is.
+    """
+    keyed = cells.withColumn("_entity", entity_text(entity))
+    order = Window.partitionBy("_entity").orderBy("_sample")
+    samples = keyed.select("_entity", "_sample").distinct().withColumn("_at", F.row_number().over(order) - 1)
+    samples = materialise(samples, "samples")
+    names = [f"_track{place}" for place in range(tracks)]
+    # A feature has at most one cell per sample, so its row is bounded by the number of samples.
+    packed = keyed.join(samples, on=["_entity", "_sample"]).groupBy("_entity", "_feature")
+    packed = packed.agg(F.collect_list(F.struct("_at", *names)).alias("_all"))
+
+    def held(name: str) -> Column:
+        kept = F.filter("_all", lambda cell: cell[name].isNotNull())
+        return F.transform(kept, lambda cell: F.struct(cell["_at"].alias("_at"), cell[name].alias("_log")))
+
+    tracked = F.explode(F.array(*[F.struct(F.lit(name).alias("_track"), held(name).alias("_cells")) for name in names]))
+    traces = packed.select("_entity", "_feature", tracked.alias("_one")).select("_entity", "_feature", "_one.*")
+    traces = materialise(traces.filter(F.size("_cells") > 0), "unparted")
+    # A trace ties its first sample to its others; the distinct ties hold what connects the samples.
+    first = F.col("_cells")[0]["_at"]
+    ties = traces.select("_entity", "_track", first.alias("_first"), F.explode("_cells._at").alias("_at")).distinct()
+    node = lambda end: F.concat_ws("\u001f", "_entity", "_track", F.col(end).cast("string"))
+    ties = materialise(ties.withColumns({"_tie": node("_first"), "_node": node("_at")}), "ties")
+    components = connected_components(ties, "_tie", "_node")
+    nodes = ties.select("_entity", "_track", "_at", "_node").distinct().join(components, on="_node")
+    numbers = materialise(
+        components.select("component").distinct().withColumn("_part", F.monotonically_increasing_id()), "numbers"
     )
-    long = long.filter(F.col("_log").isNotNull())
-    sample = F.col("_sample").cast("string")
-    node = lambda end: F.concat_ws("\u001f", "_entity", "_track", end).alias
-    parts = connected_components(long.select(node(sample)("_at"), node("_feature")("_trace")), "_at", "_trace")
-    tagged = long.withColumn("_trace", F.concat_ws("\u001f", "_entity", "_track", "_feature")).join(parts, on="_trace")
-    return tagged.select("_entity", "_track", F.col("component").alias("_part"), "_feature", "_sample", "_log")
+    places = nodes.join(numbers, on="component").join(samples, on=["_entity", "_at"])
+    places = materialise(places.select("_part", "_at", "_entity", "_track", "_sample"), "places")
+    parts = places.select("_entity", "_track", F.col("_at").alias("_first"), "_part")
+    traces = traces.withColumn("_first", first).join(parts, on=["_entity", "_track", "_first"])
+    return traces.select("_part", "_feature", "_cells"), places
 
 
 def _estimate_in_spark(cells: DataFrame, axes: Axes, schema: T.StructType) -> DataFrame:
@@ -209,44 +235,40 @@ def _estimate_in_spark(cells: DataFrame, axes: Axes, schema: T.StructType) -> Da
     # A surrogate that is never null stands for the entity, as joins leave out null keys.
     named_cells = cells.withColumn("_entity", entity_text(axes.entity))
     names = named_cells.groupBy("_entity").agg(*[F.first(named(key)).alias(key) for key in axes.entity])
-    entity = ["_entity", "_track", "_part"]
     tracks = [f"_track{place}" for place in range(len(axes.tracks))]
-    long = materialise(_traces(cells, axes.entity, len(tracks)), "traces")
-    keys = [named(key) for key in entity]
+    traces, places = _traces(cells, axes.entity, len(tracks))
+    traces = materialise(traces, "traces")
 
-    order = Window.partitionBy(*keys).orderBy(F.desc("_samples"), F.desc("_peak"), F.asc("_feature"))
+    order = Window.partitionBy("_part").orderBy(F.desc("_samples"), F.desc("_peak"), F.asc("_feature"))
     seeds = (
-        long.groupBy(*keys, "_feature")
-        .agg(F.count("*").alias("_samples"), F.max("_log").alias("_peak"))
+        traces.select("_part", "_feature", F.size("_cells").alias("_samples"), F.array_max("_cells._log").alias("_peak"))
         .withColumn("_place", F.row_number().over(order))
         .filter(F.col("_place") <= SEED_TRACES)
-        .select(*keys, "_feature", "_place")
-    )
-    key_fields = [long.schema[key] for key in entity]
-    reference_schema = T.StructType(
-        [*key_fields, T.StructField("_sample", schema[axes.sample].dataType), T.StructField("_reference", T.DoubleType())]
+        .select("_part", "_feature", "_place")
     )
+    seeds = traces.join(materialise(seeds, "seeds"), on=["_part", "_feature"])
 
     def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         # Rank order stands in for the feature name, so ties resolve as they do for a whole matrix.
-        ranked = pdf.drop(columns="_feature").rename(columns={"_place": "_feature"})
-        matrix, samples = trace_matrix(ranked, "_log")
-        table = pd.DataFrame({"_sample": samples, "_reference": merge_traces(matrix)})
-        for name, value in zip(entity, key, strict=True):
-            table[name] = value
-        return table[[*entity, "_sample", "_reference"]]
-
-    reference = long.join(seeds, on=[*entity, "_feature"]).groupBy(*keys).applyInPandas(merge, reference_schema)
+        matrix, samples = trace_matrix(pdf.rename(columns={"_place": "_feature", "_at": "_sample"}), "_log")
+        return pd.DataFrame({"_part": key[0], "_at": samples, "_reference": merge_traces(matrix)})
+
+    reference = (
+        seeds.select("_part", "_place", F.inline("_cells"))
+        .groupBy("_part")
+        .applyInPandas(merge, "_part long, _at int, _reference double")
+    )
     # Samples of seeds that stayed apart have no reference yet; pandas hands their NaN over as null.
-    shifts = _placed_in_spark(long, entity, reference.filter(F.col("_reference").isNotNull() & ~F.isnan("_reference")))
-    shifted = long.join(shifts, on=[*entity, "_feature"]).withColumn("_aligned", F.col("_log") + F.col("_shift"))
-    profile = grouped_median(shifted, [*entity, "_sample"], "_aligned", "_profile")
-    summed = long.groupBy(*keys).agg(F.sum(F.pow(F.lit(2.0), F.col("_log"))).alias("_input"))
-    fitted = profile.groupBy(*keys).agg(F.sum(F.pow(F.lit(2.0), F.col("_profile"))).alias("_output"))
-    factor = summed.join(fitted, on=entity).select(*keys, (F.col("_input") / F.col("_output")).alias("_factor"))
+    placed = _placed_in_spark(traces, reference.filter(F.col("_reference").isNotNull() & ~F.isnan("_reference")))
+    profile = grouped_median(_aligned(placed), ["_part", "_at"], "_aligned", "_profile")
+    power = F.aggregate("_cells", F.lit(0.0), lambda total, cell: total + F.pow(F.lit(2.0), cell["_log"]))
+    summed = traces.groupBy("_part").agg(F.sum(power).alias("_input"))
+    fitted = profile.groupBy("_part").agg(F.sum(F.pow(F.lit(2.0), F.col("_profile"))).alias("_output"))
+    factor = summed.join(fitted, on="_part").select("_part", (F.col("_input") / F.col("_output")).alias("_factor"))
     value = F.pow(F.lit(2.0), F.col("_profile")) * F.col("_factor")
     return (
-        profile.join(factor, on=entity)
+        profile.join(factor, on="_part")
+        .join(places, on=["_part", "_at"])
         .groupBy("_entity", F.col("_sample").alias(axes.sample))
         .agg(
             *[
@@ -259,26 +281,44 @@ def _estimate_in_spark(cells: DataFrame, axes: Axes, schema: T.StructType) -> Da
     )
 
 
-def _placed_in_spark(long: DataFrame, keys: list[str], reference: DataFrame) -> DataFrame:
-    """Shift of every trace: those that overlap the reference are placed, then it grows by their samples, and so on.
+def _aligned(placed: DataFrame) -> DataFrame:
+    """The cells of placed traces, shifted."""
+    cells = placed.select("_part", "_shift", F.inline("_cells"))
+    return cells.select("_part", "_at", (F.col("_log") + F.col("_shift")).alias("_aligned"))
 
-    A part is connected, so every trace is placed; most parts need one round.
+
+def _placed_in_spark(traces: DataFrame, reference: DataFrame) -> DataFrame:
+    """Every trace with its ``_shift``: those that overlap the reference are placed, then it grows by their samples, and so on.
+
+    A part is connected, so every trace is placed; most parts need one round. A round joins each trace to its part's
+    reference, an array by sample number, so that the cells stay where they are.
     """
     reference = materialise(reference, "reference")
-    waiting, shifts = long, None
-    while not waiting.isEmpty():
-        # A feature has at most one value per sample, so its median is small.
-        new = waiting.join(reference, on=[*keys, "_sample"]).groupBy(*keys, "_feature")
-        new = materialise(new.agg(F.median(F.col("_reference") - F.col("_log")).alias("_shift")), "shifts")
-        shifts = new if shifts is None else shifts.unionByName(new)
-        waiting = materialise(waiting.join(new, on=[*keys, "_feature"], how="left_anti"), "waiting")
+    waiting, placed = traces, None
+    while placed is None or not waiting.isEmpty():
+        known = reference.groupBy("_part").agg(
+            F.map_from_entries(F.collect_list(F.struct("_at", "_reference"))).alias("_map"), F.max("_at").alias("_last")
+        )
+        known = known.select(
+            "_part", F.transform(F.sequence(F.lit(0), "_last"), lambda at: F.col("_map")[at]).alias("_known")
+        )
+        gaps = F.transform("_cells", lambda cell: F.get(F.col("_known"), cell["_at"]) - cell["_log"])
+        gaps = waiting.join(materialise(known, "known"), on="_part").withColumn(
+            "_gaps", F.array_sort(F.filter(gaps, lambda gap: gap.isNotNull()))
+        )
+        number = F.size("_gaps")
+        middle = F.get("_gaps", F.floor((number - 1) / 2).cast("int")) + F.get("_gaps", F.floor(number / 2).cast("int"))
+        tried = gaps.select(*traces.columns, F.when(number > 0, middle * 0.5).alias("_shift"))
+        tried = materialise(tried, "shifts")
+        ready = tried.filter(F.col("_shift").isNotNull())
+        placed = ready if placed is None else placed.unionByName(ready)
+        waiting = tried.filter(F.col("_shift").isNull()).drop("_shift")
         if waiting.isEmpty():
             break
-        bare = long.join(new, on=[*keys, "_feature"]).join(reference, on=[*keys, "_sample"], how="left_anti")
-        bare = bare.withColumn("_aligned", F.col("_log") + F.col("_shift"))
-        more = grouped_median(bare, [*keys, "_sample"], "_aligned", "_reference")
+        bare = _aligned(ready).join(reference, on=["_part", "_at"], how="left_anti")
+        more = grouped_median(bare, ["_part", "_at"], "_aligned", "_reference")
         reference = materialise(reference.unionByName(more), "reference")
-    return shifts if shifts is not None else long.select(*keys, "_feature", F.lit(0.0).alias("_shift"))
+    return placed
 
 
 def entity_text(keys: Sequence[str]) -> Column:
@@ -362,16 +402,17 @@ def disconnected_traces(
     )
     rows = assigned_only(rows, axes.entity, keep_unassigned)
     cells = materialise(_prepared_cells(rows, axes), "cells")
-    long = materialise(_traces(cells, axes.entity, len(axes.tracks)), "traces")
-    parts = long.groupBy("_entity", "_track", "_part").agg(F.min("_feature").alias("_least"))
+    traces, places = _traces(cells, axes.entity, len(axes.tracks))
+    traces = materialise(traces.select("_part", F.col("_feature").alias("feature"), F.size("_cells").alias("samples")), "traces")
+    parts = traces.groupBy("_part").agg(F.min("feature").alias("_least"))
+    parts = parts.join(places.select("_part", "_entity", "_track").distinct(), on="_part")
     numbered = parts.withColumn("part", F.row_number().over(Window.partitionBy("_entity", "_track").orderBy("_least")))
     several = numbered.groupBy("_entity", "_track").agg(F.max("part").alias("_parts")).filter("_parts > 1")
     numbered = materialise(numbered.join(several, on=["_entity", "_track"], how="left_semi"), "parts")
-    traces = long.groupBy("_entity", "_track", "_part", F.col("_feature").alias("feature")).agg(F.count("*").alias("samples"))
     names = cells.withColumn("_entity", entity_text(axes.entity)).groupBy("_entity")
     names = names.agg(*[F.first(named(key)).alias(key) for key in axes.entity])
     outputs = F.create_map(*[F.lit(part) for place, (_, output) in enumerate(axes.tracks) for part in (f"_track{place}", output)])
-    found = traces.join(numbered, on=["_entity", "_track", "_part"]).join(names, on="_entity")
+    found = traces.join(numbered, on="_part").join(names, on="_entity")
     return found.select(*[named(key) for key in axes.entity], outputs[F.col("_track")].alias("track"), "part", "feature", "samples")
 
 

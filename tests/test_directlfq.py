@@ -195,3 +195,21 @@ def test_grouped_kernel_on_null_keys(spark):
     total = lambda pdf: pdf[["v"]].sum().to_frame().T.rename(columns={"v": "total"})
     schema = T.StructType([T.StructField("total", T.LongType()), T.StructField("k", T.StringType())])
     assert {tuple(row) for row in grouped_kernel(df, ["k"], total, schema).collect()} == {(3, None), (5, "a")}
+
+
+def test_parts_are_found_from_samples(spark, monkeypatch):
+    """The graph behind the parts grows with the samples of an entity, not with its traces."""
+    from quantweave.operators import directlfq
+
+    sizes = []
+
+    def watched(edges, *names):
+        sizes.append(edges.count())
+        return connected(edges, *names)
+
+    connected = directlfq.connected_components
+    monkeypatch.setattr(directlfq, "connected_components", watched)
+    rows = [("P", f"s{sample}", f"f{feature}", 2.0 ** (feature % 5 + sample)) for feature in range(40) for sample in range(3)]
+    found = estimate(dataset(spark, rows), cell_budget=0)
+    assert sizes == [3]
+    assert found["P", "s1"] / found["P", "s0"] == pytest.approx(2)
