@@ -214,7 +214,7 @@ def _traces(cells: DataFrame, entity: Sequence[str], tracks: int) -> tuple[DataF
     traces = packed.select("_entity", "_feature", tracked.alias("_one")).select("_entity", "_feature", "_one.*")
     traces = materialise(traces.filter(F.size("_cells") > 0), "unparted")
     # A trace ties its first sample to its others; the distinct ties hold what connects the samples.
-    first = F.col("_cells")[0]["_at"]
+    first = F.array_min("_cells._at")
     ties = traces.select("_entity", "_track", first.alias("_first"), F.explode("_cells._at").alias("_at")).distinct()
     node = lambda end: F.concat_ws("\u001f", "_entity", "_track", F.col(end).cast("string"))
     ties = materialise(ties.withColumns({"_tie": node("_first"), "_node": node("_at")}), "ties")
