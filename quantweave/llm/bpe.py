@@ -7,7 +7,6 @@ import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -122,14 +121,16 @@ class Vocabulary:
 
 
 class _Memo(dict):
+    """Ids of pre-tokens as the bytes of 32-bit numbers, which join faster than lists."""
+
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.vocabulary = vocabulary
 
-    def __missing__(self, token: str) -> list[int]:
+    def __missing__(self, token: str) -> bytes:
         if len(self) >= KEPT:
             self.clear()
-        found = self[token] = self.vocabulary.pieces(token.encode())
+        found = self[token] = np.array(self.vocabulary.pieces(token.encode()), np.int32).tobytes()
         return found
 
 
@@ -149,10 +150,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, pattern: str, key: str = "do
                 lengths, chunks = [0], []
                 for body in part.column("body"):
                     found = split.findall(body.as_py().decode("utf-8", "replace"))
-                    ids = list(chain.from_iterable(map(memo.__getitem__, found)))
-                    chunks.append(np.array(ids, np.int32))
-                    lengths.append(lengths[-1] + len(ids))
-                ids = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(chunks)))
+                    chunks.append(b"".join(map(memo.__getitem__, found)))
+                    lengths.append(lengths[-1] + len(chunks[-1]) // 4)
+                ids = np.frombuffer(b"".join(chunks), np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], names=["doc_id", "ids"])
 
     return texts(docs, key, text).mapInArrow(run, "doc_id long, ids array<int>")
