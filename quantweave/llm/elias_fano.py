@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
+#: With more positions asked than one in so many words of 64 bits, the whole bit vector is unpacked.
+DENSE = 1
 
 
 class EliasFano:
@@ -57,6 +59,9 @@ class EliasFano:
         return (value >> shift) & np.uint64((1 << self.width) - 1)
 
     def _select(self, rank: np.ndarray, zero: bool) -> np.ndarray:
+        if len(rank) * DENSE >= len(self.bits):
+            flags = np.unpackbits((~self.bits if zero else self.bits).view(np.uint8), bitorder="little")
+            return np.flatnonzero(flags.view(bool))[rank]
         before = self.zeros if zero else self.ones
         block = np.searchsorted(before, rank, "right") - 1
         word = self.bits[block] ^ (FULL if zero else np.uint64(0))
@@ -87,8 +92,9 @@ class EliasFano:
         rest = values[live] - self.first
         high = (rest >> np.uint64(self.width)).astype(np.int64)
         low = rest & np.uint64((1 << self.width) - 1)
-        start = np.where(high > 0, self._select(np.maximum(high - 1, 0), True) - (high - 1), 0)
-        stop = end = self._select(high, True) - high
+        before, after = np.split(self._select(np.r_[np.maximum(high - 1, 0), high], True), 2)
+        start = np.where(high > 0, before - (high - 1), 0)
+        stop = end = after - high
         while (open_ := start < stop).any():
             some = np.flatnonzero(open_)
             middle = (start[some] + stop[some]) // 2
