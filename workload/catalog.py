@@ -929,9 +929,7 @@ def workflow_mbr_proteins(spark: SparkSession, folder: str) -> DataFrame:
         return confident(run("v0", spark, **stages), threshold=0.05, include_decoys=True)
 
     def second_search(spark: SparkSession, library: DataFrame) -> Dataset:
-        rows = psms(spark, folder)
-        known = library.select(F.col("ModifiedPeptide").alias("peptide")).distinct()
-        return rows.evolve(rows.df.join(known, on="peptide", how="left_semi"))
+        return psms(spark, folder, library.select(F.col("ModifiedPeptide").alias("peptide")).distinct())
 
     _, proteins = run(
         "mbr",

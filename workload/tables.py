@@ -31,11 +31,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def psms(spark: SparkSession, folder: str) -> Dataset:
-    """Matches with planted signal: most target peptides have raised scores."""
-    matched = table(spark, folder, "lineitem").join(
-        table(spark, folder, "part"), on=F.col("l_partkey") == F.col("p_partkey")
-    )
+def psms(spark: SparkSession, folder: str, known: DataFrame | None = None) -> Dataset:
+    """Matches with planted signal: most target peptides have raised scores.
+
+    With ``known`` (``peptide``), only those of the peptides in it. They are looked up before the matches join: a match
+    has its part's peptide, and all matches would be shuffled by peptide otherwise.
+    """
+    part = table(spark, folder, "part")
+    if known is not None:
+        part = part.join(known, on=F.col("p_partkey").cast("string") == F.col("peptide"), how="left_semi")
+    matched = table(spark, folder, "lineitem").join(part, on=F.col("l_partkey") == F.col("p_partkey"))
     target = F.col("l_partkey") % 2 == 0
     bonus = F.when((F.col("l_partkey") % 10).isin(0, 2, 4), 15).otherwise(0)
     df = matched.select(
