@@ -154,7 +154,7 @@ def two_pass(
 
     psms = _search(spark, second_search, library=options["location"] if by_location else written)
     second_confidence = {"level": "psm-only", **(confidence or {})}
-    second = _kept(assign_confidence(_rescored(psms, rescoring), **second_confidence), "second-pass")
+    second = _kept(assign_confidence(_rescored(psms, rescoring), **second_confidence), "pass-two")
     matched = combine_passes(
         second,
         grouped_first,
